@@ -28,3 +28,9 @@ def ratio(a: Column | str, b: Column | str) -> Column:
     """``a / b``, null unless ``b`` is positive."""
     a, b = _col(a), _col(b)
     return F.when(b > 0, a / b)
+
+
+def half_up(c: Column, scale: int) -> Column:
+    """Round halves up with plain double arithmetic."""
+    unit = 10.0 ** scale
+    return F.floor(c * unit + 0.5) / unit

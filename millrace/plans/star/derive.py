@@ -64,7 +64,7 @@ def place(p: str, key: str) -> str:
         concat('city ', cast({key} % 20 as varchar(20))) as {p}city,
         concat(n_name, ' county ', cast({key} % 4 as varchar(20))) as {p}county,
         n_name as {p}state,
-        lpad(cast(({key} * 37) % 100000 as varchar(20)), 5, '0') as {p}zip,
+        lpad(cast(({key} % 400) * 37 as varchar(20)), 5, '0') as {p}zip,
         r_name as {p}country,
         cast(-(5 + n_nationkey % 4) as double) as {p}gmt_offset""".replace("{street}", "Elm")
 
@@ -81,7 +81,7 @@ def statements(sp: Spelling) -> dict[str, str]:
 
     out["line"] = f"""
         select l_orderkey as ok, cast(l_linenumber as bigint) as ln, l_orderkey % 3 as channel,
-          l_partkey as item_sk, l_suppkey as outlet_sk, o_custkey as cust,
+          {floordiv('l_partkey', 8)} * 8 + {floordiv('l_partkey', 8)} % 8 as item_sk, l_suppkey as outlet_sk, o_custkey as cust,
           {day('o_orderdate')} as sold_sk,
           {day('o_orderdate')} + 1 + (l_orderkey * 7 + l_linenumber) % 130 as ship_sk,
           (l_orderkey * 911 + l_linenumber * 37) % 86400 as time_sk,
@@ -210,19 +210,21 @@ def statements(sp: Spelling) -> dict[str, str]:
     out["web_returns"] = remote_return(
         "wr_", 2, "page_sk as wr_web_page_sk", "return_amt", "account_credit")
 
-    # eight weekly stock snapshots after each sold line
+    # eight weekly stock snapshots after each sold line, one row per day, item and depot
     out["inventory"] = f"""
-        select {floordiv('sold_sk', 7)} * 7 + 7 * j as inv_date_sk, item_sk as inv_item_sk,
-          {floordiv('outlet_sk', 10)} as inv_warehouse_sk,
-          case when (ok + j) % 4 = 0 then qty * 10 else ok % 7 + j end as inv_quantity_on_hand
-        from {{line}} {sp.snapshots}"""
+        select inv_date_sk, inv_item_sk, inv_warehouse_sk, max(stock) as inv_quantity_on_hand
+        from (select {floordiv('sold_sk', 7)} * 7 + 7 * j as inv_date_sk, item_sk as inv_item_sk,
+                outlet_sk % 10 as inv_warehouse_sk,
+                case when (ok + j) % 4 = 0 then qty * 10 else ok % 7 + j end as stock
+              from {{line}} {sp.snapshots}) snapshots
+        group by inv_date_sk, inv_item_sk, inv_warehouse_sk"""
 
     out["item"] = f"""
         select p_partkey as i_item_sk, {key_text('I', floordiv('p_partkey', 2))} as i_item_id,
           {date(f'{FIRST_DAY} + p_partkey % 365')} as i_rec_start_date, {ends} as i_rec_end_date,
           concat('A ', p_name, ' made by ', p_brand, ' in size ', cast(p_size as varchar(20))) as i_item_desc,
-          {cents('p_retailprice / 10')} as i_current_price,
-          {cents('p_retailprice * 0.06e0')} as i_wholesale_cost,
+          {cents('p_retailprice * (1 + p_partkey % 10) / 50')} as i_current_price,
+          {cents('p_retailprice * (1 + p_partkey % 10) * 0.012e0')} as i_wholesale_cost,
           cast(substring(p_brand, 7) as bigint) as i_brand_id, p_brand as i_brand,
           cast(1 + p_size % 5 as bigint) as i_class_id,
           case when p_partkey % 47 = 0 then null

@@ -1,0 +1 @@
+"""Independent SQL for checking the Spark results in DuckDB."""

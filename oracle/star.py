@@ -24,14 +24,14 @@ def _build() -> dict[str, str]:
               "sales_price", "wholesale_cost", "ext_sales_price", "ext_list_price",
               "ext_discount_amt", "ext_wholesale_cost", "net_paid", "net_profit")
 
-    def flat(channel: str, p: str, who: str, order: str) -> str:
+    def flat(channel: str, p: str, who: str, order: str, outlet: str) -> str:
         cols = ", ".join(f"{p}{c} as {c}" for c in shared)
         return (f"select '{channel}' as channel, {p}{who}customer_sk as customer_sk, "
-                f"{p}{who}addr_sk as addr_sk, {p}{order} as order_no, {cols} from {channel}_sales")
+                f"{p}{who}addr_sk as addr_sk, {p}{order} as order_no, {p}{outlet} as outlet_sk, {cols} from {channel}_sales")
 
     tables["all_sales"] = " union all ".join(
-        [flat("store", "ss_", "", "ticket_number"), flat("catalog", "cs_", "bill_", "order_number"),
-         flat("web", "ws_", "bill_", "order_number")])
+        [flat("store", "ss_", "", "ticket_number", "store_sk"), flat("catalog", "cs_", "bill_", "order_number", "call_center_sk"),
+         flat("web", "ws_", "bill_", "order_number", "web_site_sk")])
     tables["all_returns"] = """
         select 'store' as channel, sr_returned_date_sk as returned_date_sk, sr_item_sk as item_sk,
           sr_ticket_number as order_no, sr_return_quantity as return_quantity,
@@ -64,12 +64,11 @@ def with_star(body: str) -> str:
     return f"with {ctes}\n{body}"
 
 
-def ranked(body: str, order: str | None, limit: int | None = 100) -> str:
+def ranked(body: str, order: str | list[str] | None, limit: int | None = 100) -> str:
     """Order with nulls first when ascending, break ties on all columns, and cut."""
     if order is None:
         return with_star(f"select * from ({body}) q")
-    terms = []
-    for key in order.split():
-        terms.append(f'"{key[1:]}" desc nulls last' if key.startswith("-") else f'"{key}" asc nulls first')
+    terms = list(order) if isinstance(order, list) else [
+        f'"{k[1:]}" desc nulls last' if k.startswith("-") else f'"{k}" asc nulls first' for k in order.split()]
     cut = f" limit {limit}" if limit else ""
     return with_star(f"select * from ({body}) q order by {', '.join(terms)}, columns(*) asc nulls first{cut}")
