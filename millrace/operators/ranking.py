@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from millrace.operators.relational import same, with_group
+from millrace.session import materialized
 
 
 def cut_points(df: DataFrame, value: str, ranges: int) -> list:
@@ -24,8 +25,9 @@ def cut_points(df: DataFrame, value: str, ranges: int) -> list:
 def value_offsets(df: DataFrame, value: str, keys: list[str] | None = None, ranges: int = 64) -> DataFrame:
     """Per key and distinct non-null value: ``n`` rows with it and ``before`` rows below it."""
     keys = keys or []
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
-    cuts = cut_points(df, value, ranges)
+    counts = materialized(
+        df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n")))
+    cuts = cut_points(counts, value, ranges)
     if cuts:
         edges = F.array(*[F.lit(c) for c in cuts])
         slot = F.size(F.filter(edges, lambda e: e < F.col(value)))

@@ -290,7 +290,7 @@ def statements(sp: Spelling) -> dict[str, str]:
 
     out["customers"] = f"""
         select c_custkey as c_customer_sk, {key_text('C', 'c_custkey', 10)} as c_customer_id,
-          1 + c_custkey % 70 as c_current_cdemo_sk, 1 + c_custkey % 60 as c_current_hdemo_sk,
+          1 + (c_custkey + 2) % 70 as c_current_cdemo_sk, 1 + c_custkey % 60 as c_current_hdemo_sk,
           c_custkey as c_current_addr_sk, {FIRST_DAY} + 30 + c_custkey % 2000 as c_first_shipto_date_sk,
           {FIRST_DAY} + c_custkey % 2000 as c_first_sales_date_sk,
           {pick(['Mr.', 'Ms.', 'Dr.'], 'c_custkey % 3')} as c_salutation,

@@ -11,6 +11,7 @@ from millrace.plans.star.channels import CHANNELS, returns, sales
 from millrace.plans.star.registry import report
 from millrace.plans.star.simple import any_of, day_span, days
 from millrace.plans.star.tables import Star
+from millrace.session import materialized
 
 col = F.col
 
@@ -73,7 +74,7 @@ def return_ratios(t: Star, channel: str, year: int, month: int, least: float) ->
 
 @report
 def q49(t: Star, year: int = 2000, month: int = 12, least: float = 10000, k: int = 10) -> DataFrame:
-    items = union_all(*[return_ratios(t, c, year, month, least) for c in CHANNELS])
+    items = materialized(union_all(*[return_ratios(t, c, year, month, least) for c in CHANNELS]))
     items = with_rank(items, "return_ratio", "return_rank", ["channel"])
     items = with_rank(items, "currency_ratio", "currency_rank", ["channel"])
     out = items.where((col("return_rank") <= k) | (col("currency_rank") <= k)).select(

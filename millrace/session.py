@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # read by the jobs, not by the cluster: safe to set on a shared session
 RUNTIME = {
@@ -31,3 +33,23 @@ def local(cores: int | str = "*", app: str = "millrace") -> SparkSession:
              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """New folder for intermediate files, below the shared folder of the session."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """Cut the lineage through the shared checkpoint folder of the session.
+
+    Used where one input feeds several passes, so that they all see the same
+    rows and an executor loss does not redo the input.  A folder is made up
+    only when the session names none, as in tests.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None)
+                                 or tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    return df.checkpoint()

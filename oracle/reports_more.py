@@ -300,13 +300,13 @@ case("q41", dict(maker=42, variants=_VARIANTS), f"""
         for c, k, u, z in _VARIANTS)})) > 0""", "i_product_name")
 
 _REV = ("ss_item_rev", "cs_item_rev", "ws_item_rev")
-case("q58", dict(day="1998-02-19"), f"""
+case("q58", dict(day="1996-07-18"), f"""
   with r as (
     select i_item_id as item_id, {', '.join(
         f"round(sum(ext_sales_price) filter (channel = '{c}'), 2) as {n}"
         for c, n in zip(('store', 'catalog', 'web'), _REV))}
     from all_sales join item on i_item_sk = item_sk join date_dim on d_date_sk = sold_date_sk
-    where d_week_seq = (select d_week_seq from date_dim where d_date = date '1998-02-19') group by i_item_id),
+    where d_week_seq = (select d_week_seq from date_dim where d_date = date '1996-07-18') group by i_item_id),
   a as (select *, (ss_item_rev + cs_item_rev + ws_item_rev) / 3 as average from r)
   select item_id, {', '.join(f'{n}, {n} / average * 100 as {n[:3]}dev' for n in _REV)}, average from a
   where {' and '.join(f'{x} between 0.9e0 * {y} and 1.1e0 * {y}' for x in _REV for y in _REV if x != y)}""",
