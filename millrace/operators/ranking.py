@@ -25,8 +25,13 @@ def cut_points(df: DataFrame, value: str, ranges: int) -> list:
 def value_offsets(df: DataFrame, value: str, keys: list[str] | None = None, ranges: int = 64) -> DataFrame:
     """Per key and distinct non-null value: ``n`` rows with it and ``before`` rows below it."""
     keys = keys or []
-    counts = materialized(
-        df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n")))
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
+    return count_offsets(counts, value, keys, ranges)
+
+
+def count_offsets(counts: DataFrame, value: str, keys: list[str], ranges: int = 64) -> DataFrame:
+    """Add ``before`` to rows of key, distinct value and count ``n``."""
+    counts = materialized(counts)
     cuts = cut_points(counts, value, ranges)
     if cuts:
         edges = F.array(*[F.lit(c) for c in cuts])
@@ -75,7 +80,12 @@ def percentiles(df: DataFrame, value: str, shares: list[float], keys: list[str]
                 interpolate: bool = True) -> DataFrame:
     """Exact percentiles; linear between neighbours, or the lower neighbour."""
     keys = keys or []
-    places = value_offsets(df, value, keys)
+    return count_percentiles(value_offsets(df, value, keys), value, shares, keys, interpolate)
+
+
+def count_percentiles(places: DataFrame, value: str, shares: list[float], keys: list[str],
+                      interpolate: bool = True) -> DataFrame:
+    """Percentiles from rows that carry ``n`` and ``before``."""
     if keys:
         places = with_group(places, keys, F.sum("n").alias("_total"))
     else:

@@ -201,7 +201,7 @@ def s14_numbered_rows(t: Tables):
     last = t.orders.agg(F.max("o_orderkey").alias("m")).first()["m"]
     rows = files.numbered_rows(t.spark, 1, last + 1)
     return match(rows, t.orders, num="o_orderkey").groupBy("o_orderstatus").agg(
-        F.count("*").alias("n"), F.max(F.length("text")).alias("longest"))
+        F.count("*").alias("n"), F.max(F.length("text")).cast("bigint").alias("longest"))
 
 
 @query
