@@ -15,6 +15,10 @@ from millrace.operators.relational import same, with_group
 from millrace.session import materialized
 
 
+# distinct values that one task may place on its own
+SMALL = 100_000
+
+
 def cut_points(df: DataFrame, value: str, ranges: int) -> list:
     """At most ``ranges - 1`` approximate quantiles; balance only, never the result."""
     shares = [i / ranges for i in range(1, ranges)]
@@ -32,6 +36,9 @@ def value_offsets(df: DataFrame, value: str, keys: list[str] | None = None, rang
 def count_offsets(counts: DataFrame, value: str, keys: list[str], ranges: int = 64) -> DataFrame:
     """Add ``before`` to rows of key, distinct value and count ``n``."""
     counts = materialized(counts)
+    if counts.count() <= SMALL:
+        below = W.partitionBy(*keys).orderBy(value).rowsBetween(W.unboundedPreceding, -1)
+        return counts.select(*keys, value, "n", F.coalesce(F.sum("n").over(below), F.lit(0)).alias("before"))
     cuts = cut_points(counts, value, ranges)
     if cuts:
         edges = F.array(*[F.lit(c) for c in cuts])

@@ -20,14 +20,14 @@ class Spelling:
     day_number: str  # timestamp column -> days since 1900-01-01
     date_of: str  # days since 1900-01-01 -> date
     series: str  # relation with one bigint column k in [0, n)
-    snapshots: str  # relation suffix that repeats a row for j in 0..7
+    snapshots: str  # relation suffix that repeats a row for j in 0..4
 
 
 SPARK = Spelling(
     day_number="cast(datediff(to_date({0}), date'1900-01-01') as bigint)",
     date_of="date_add(date'1900-01-01', cast({0} as int))",
     series="(select id as k from range({0}))",
-    snapshots="lateral view explode(sequence(0, 7)) snap as j",
+    snapshots="lateral view explode(sequence(0, 4)) snap as j",
 )
 
 # 1995-01-01 and the number of days up to 2002-12-31
@@ -210,7 +210,7 @@ def statements(sp: Spelling) -> dict[str, str]:
     out["web_returns"] = remote_return(
         "wr_", 2, "page_sk as wr_web_page_sk", "return_amt", "account_credit")
 
-    # eight weekly stock snapshots after each sold line, one row per day, item and depot
+    # five weekly stock snapshots after each sold line, one row per day, item and depot
     out["inventory"] = f"""
         select inv_date_sk, inv_item_sk, inv_warehouse_sk, max(stock) as inv_quantity_on_hand
         from (select {floordiv('sold_sk', 7)} * 7 + 7 * j as inv_date_sk, item_sk as inv_item_sk,

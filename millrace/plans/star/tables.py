@@ -49,11 +49,15 @@ class Star:
     @classmethod
     def derived(cls, spark: SparkSession, sf_dir: str) -> "Star":
         sql = derive.statements(derive.SPARK)
+        built: dict[str, DataFrame] = {}
 
         def build(name: str) -> DataFrame:
-            if name not in sql:
-                return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-            used = {f for _, f, _, _ in string.Formatter().parse(sql[name]) if f}
-            return spark.sql(sql[name], **{u: build(u) for u in used})
+            if name not in built:
+                if name in sql:
+                    used = {f for _, f, _, _ in string.Formatter().parse(sql[name]) if f}
+                    built[name] = spark.sql(sql[name], **{u: build(u) for u in used})
+                else:
+                    built[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+            return built[name]
 
         return cls(spark, lambda name: build("customers" if name == "customer" else name))

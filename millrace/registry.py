@@ -15,12 +15,15 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._frames: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        return df.withColumn("ts", df["ts"].cast("timestamp")) if name == "events" else df
+        if name not in self._frames:
+            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            self._frames[name] = df.withColumn("ts", df["ts"].cast("timestamp")) if name == "events" else df
+        return self._frames[name]
 
 
 def query(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:

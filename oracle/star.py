@@ -10,7 +10,7 @@ DUCKDB = derive.Spelling(
     day_number="datediff('day', date '1900-01-01', cast({0} as date))",
     date_of="(date '1900-01-01' + cast({0} as integer))",
     series="(select range as k from range({0}))",
-    snapshots=", (select range as j from range(8)) snap",
+    snapshots=", (select range as j from range(5)) snap",
 )
 
 _RAW = ("lineitem", "orders", "part", "supplier", "nation", "region", "customer")
