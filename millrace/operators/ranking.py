@@ -26,6 +26,15 @@ def cut_points(df: DataFrame, value: str, ranges: int) -> list:
     return sorted(set(row["cuts"] or []))
 
 
+def slot_of(value: Column, cuts: list, first: int = 0) -> Column:
+    """Number of cut points below a value, by halving the list of cut points."""
+    if not cuts:
+        return F.lit(first)
+    middle = len(cuts) // 2
+    return F.when(value <= F.lit(cuts[middle]), slot_of(value, cuts[:middle], first)).otherwise(
+        slot_of(value, cuts[middle + 1:], first + middle + 1))
+
+
 def value_offsets(df: DataFrame, value: str, keys: list[str] | None = None, ranges: int = 64) -> DataFrame:
     """Per key and distinct non-null value: ``n`` rows with it and ``before`` rows below it."""
     keys = keys or []
@@ -39,13 +48,7 @@ def count_offsets(counts: DataFrame, value: str, keys: list[str], ranges: int =
     if counts.count() <= SMALL:
         below = W.partitionBy(*keys).orderBy(value).rowsBetween(W.unboundedPreceding, -1)
         return counts.select(*keys, value, "n", F.coalesce(F.sum("n").over(below), F.lit(0)).alias("before"))
-    cuts = cut_points(counts, value, ranges)
-    if cuts:
-        edges = F.array(*[F.lit(c) for c in cuts])
-        slot = F.size(F.filter(edges, lambda e: e < F.col(value)))
-    else:
-        slot = F.lit(0)
-    counts = counts.withColumn("_slot", slot)
+    counts = counts.withColumn("_slot", slot_of(F.col(value), cut_points(counts, value, ranges)))
     sizes = counts.groupBy(*keys, "_slot").agg(F.sum("n").alias("_size"))
     # at most `ranges` rows per key reach this window
     earlier = W.partitionBy(*keys).orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
