@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from millrace.operators.ranking import count_offsets, count_percentiles
 
 
-def surviving(events: DataFrame, keys: list[str], value: str, at: str, step: str, slices: int = 64) -> DataFrame:
+def surviving(events: DataFrame, keys: list[str], value: str, at: str, step: str, slices: int = 256) -> DataFrame:
     """Keys, value and ``n`` copies left; ``step`` is +1 or -1, ``at`` a unique integer order."""
     span = events.agg(F.min(at).alias("lo"), F.max(at).alias("hi"))
     width = F.greatest(F.ceil((span.select("hi").scalar() - span.select("lo").scalar() + 1) / slices), F.lit(1))

@@ -14,8 +14,8 @@ from millrace.sources import files, keyed_logs
 col = F.col
 
 
-def text_of(c) -> Column:
-    return F.coalesce(col(c).cast("string"), F.lit("")) if isinstance(c, str) else c
+def text_of(name: str) -> Column:
+    return F.coalesce(col(name).cast("string"), F.lit(""))
 
 
 # positions of the values in one row of the names document (fixed values)

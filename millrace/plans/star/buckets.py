@@ -10,11 +10,18 @@ from millrace.plans.star.channels import all_sales
 from millrace.plans.star.registry import report
 from millrace.plans.star.simple import DAY_NAMES, by_weekday, days
 from millrace.plans.star.tables import Star
+from millrace.session import materialized
 
 col = F.col
 _DAYS = [d[:3].lower() for d in DAY_NAMES]
 
 
+def week_days(t: Star, period: str) -> DataFrame:
+    """All days of the weeks that touch a period."""
+    touched = days(t, period).select(col("d_week_seq").alias("touched_week"))
+    return match(t.date_dim, touched, "left_semi", d_week_seq="touched_week")
+
+
 def week_rows(weekly: DataFrame, calendar: DataFrame, suffix: str) -> DataFrame:
     """Weekly totals once per calendar day of the week that falls in the period."""
     weeks = calendar.select(col("d_week_seq").alias("week"))
@@ -24,8 +31,8 @@ def week_rows(weekly: DataFrame, calendar: DataFrame, suffix: str) -> DataFrame:
 
 @report
 def q2(t: Star, year: int = 2001) -> DataFrame:
-    s = match(all_sales(t, "web", "catalog"), t.date_dim, sold_date_sk="d_date_sk")
-    weekly = s.groupBy("d_week_seq").agg(*by_weekday("ext_sales_price"))
+    s = match(all_sales(t, "web", "catalog"), week_days(t, f"d_year in ({year}, {year + 1})"), sold_date_sk="d_date_sk")
+    weekly = materialized(s.groupBy("d_week_seq").agg(*by_weekday("ext_sales_price")))
     now = week_rows(weekly, days(t, f"d_year = {year}"), "1")
     later = week_rows(weekly, days(t, f"d_year = {year + 1}"), "2")
     both = now.join(later, col("d_week_seq1") == col("d_week_seq2") - 53)
@@ -35,8 +42,8 @@ def q2(t: Star, year: int = 2001) -> DataFrame:
 
 @report
 def q59(t: Star, month: int = 1185) -> DataFrame:
-    s = match(t.store_sales, t.date_dim, ss_sold_date_sk="d_date_sk")
-    weekly = s.groupBy("d_week_seq", "ss_store_sk").agg(*by_weekday("ss_sales_price"))
+    s = match(t.store_sales, week_days(t, f"d_month_seq between {month} and {month + 23}"), ss_sold_date_sk="d_date_sk")
+    weekly = materialized(s.groupBy("d_week_seq", "ss_store_sk").agg(*by_weekday("ss_sales_price")))
     weekly = match(weekly, t.store.select("s_store_sk", "s_store_name", "s_store_id"),
                    ss_store_sk="s_store_sk").drop("ss_store_sk", "s_store_sk")
     now = week_rows(weekly, days(t, f"d_month_seq between {month} and {month + 11}"), "1")
@@ -223,8 +230,8 @@ def stock_variation(t: Star, year: int, month: int, least: float | None) -> Data
     stats = s.groupBy("w_warehouse_name", "w_warehouse_sk", "i_item_sk", "d_moy").agg(
         F.stddev_samp("inv_quantity_on_hand").alias("stdev"), F.avg("inv_quantity_on_hand").alias("mean"))
     cov = F.when(col("mean") != 0, col("stdev") / col("mean"))
-    stats = stats.withColumn("cov", F.round(cov, 6)).where("cov > 1").select(
-        "w_warehouse_sk", "i_item_sk", "d_moy", "mean", "cov")
+    stats = materialized(stats.withColumn("cov", F.round(cov, 6)).where("cov > 1").select(
+        "w_warehouse_sk", "i_item_sk", "d_moy", "mean", "cov"))
     now = stats.where(f"d_moy = {month}")
     if least is not None:
         now = now.where(col("cov") > least)

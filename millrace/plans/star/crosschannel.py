@@ -10,6 +10,7 @@ from millrace.plans.star.channels import CHANNELS, all_returns, all_sales, sales
 from millrace.plans.star.registry import report
 from millrace.plans.star.simple import days
 from millrace.plans.star.tables import Star
+from millrace.session import materialized
 
 col = F.col
 
@@ -169,8 +170,8 @@ def q78(t: Star, year: int = 2000, by_item: bool = False, n: int = 100) -> DataF
     kept = match(all_sales(t), all_returns(t), "left_anti", channel="r_channel", order_no="r_order_no",
                  item_sk="r_item_sk")
     kept = match(kept, days(t, f"d_year = {year}"), sold_date_sk="d_date_sk")
-    sums = kept.groupBy("channel", "d_year", "item_sk", "customer_sk").agg(
-        F.sum("quantity").alias("qty"), total("wholesale_cost").alias("wc"), total("sales_price").alias("sp"))
+    sums = materialized(kept.groupBy("channel", "d_year", "item_sk", "customer_sk").agg(
+        F.sum("quantity").alias("qty"), total("wholesale_cost").alias("wc"), total("sales_price").alias("sp")))
 
     def part(channel: str, p: str) -> DataFrame:
         return sums.where(col("channel") == channel).drop("channel").toDF(
@@ -224,11 +225,12 @@ def frequent_items(t: Star, year: int, least: int) -> DataFrame:
 
 def best_customers(t: Star, year: int, share: float) -> DataFrame:
     """Customers spending more than a share of the largest spender of four years."""
-    worth = total(col("ss_quantity") * col("ss_sales_price"))
+    worth = col("ss_quantity") * col("ss_sales_price")
     known = match(t.store_sales, t.customer.select("c_customer_sk"), "left_semi", ss_customer_sk="c_customer_sk")
-    span = match(known, days(t, f"d_year between {year} and {year + 3}"), ss_sold_date_sk="d_date_sk")
-    most = span.groupBy("ss_customer_sk").agg(worth.alias("csales")).agg(F.max("csales").alias("cmax"))
-    spent = known.groupBy("ss_customer_sk").agg(worth.alias("ssales"))
+    span = days(t, f"d_year between {year} and {year + 3}").select(col("d_date_sk").alias("span_day"))
+    spent = materialized(match(known, span, "left", ss_sold_date_sk="span_day").groupBy("ss_customer_sk").agg(
+        total(worth).alias("ssales"), total(F.when(col("span_day").isNotNull(), worth)).alias("csales")))
+    most = spent.agg(F.max("csales").alias("cmax"))
     return spent.where(col("ssales") > most.scalar() * share).select(col("ss_customer_sk").alias("best_sk"))
 
 
@@ -260,9 +262,10 @@ def returned_purchases(t: Star, market: int, colour: str, share: float) -> DataF
     homes = t.customer_address.groupBy("ca_zip", "ca_state", F.upper("ca_country").alias("ca_upper")).agg(
         F.count("*").alias("homes"))
     s = match(s, homes, s_zip="ca_zip", c_birth_country="ca_upper")
-    paid = s.groupBy("c_last_name", "c_first_name", "s_store_name", "ca_state", "s_state", "i_color",
+    # both the bar and the rows come from these groups
+    paid = materialized(s.groupBy("c_last_name", "c_first_name", "s_store_name", "ca_state", "s_state", "i_color",
                      "i_current_price", "i_manager_id", "i_units", "i_size").agg(
-        total(col("ss_sales_price") * col("homes")).alias("netpaid"))
+        total(col("ss_sales_price") * col("homes")).alias("netpaid")))
     bar = paid.agg(mean("netpaid").alias("m")).scalar() * share
     out = paid.where(col("i_color") == colour).groupBy("c_last_name", "c_first_name", "s_store_name").agg(
         total("netpaid").alias("paid"))
@@ -328,8 +331,9 @@ def q64(t: Star, colours=("maroon", "burnished", "dim", "steel", "navajo", "choc
                   **{key: p + "address_sk"})
     keys = ["i_product_name", "i_item_sk", "s_store_name", "s_zip", *["b_" + c for c in place],
             *["c2_" + c for c in place], "d1_year", "d2_year", "d3_year"]
-    pairs = s.groupBy(*keys).agg(F.count("*").alias("cnt"), total("ss_wholesale_cost").alias("s1"),
-                                 total("ss_list_price").alias("s2"), total("ss_coupon_amt").alias("s3"))
+    pairs = materialized(s.groupBy(*keys).agg(
+        F.count("*").alias("cnt"), total("ss_wholesale_cost").alias("s1"), total("ss_list_price").alias("s2"),
+        total("ss_coupon_amt").alias("s3")))
     first = pairs.where(f"d1_year = {year}").select(
         "i_item_sk", col("i_product_name").alias("product_name"), col("s_store_name").alias("store_name"),
         col("s_zip").alias("store_zip"), *["b_" + c for c in place], *[col("c2_" + c).alias("c_" + c) for c in place],

@@ -11,6 +11,7 @@ from millrace.plans.star.channels import CHANNELS, all_sales, returns, sales
 from millrace.plans.star.registry import report
 from millrace.plans.star.simple import day_span, days
 from millrace.plans.star.tables import Star
+from millrace.session import materialized
 
 col = F.col
 
@@ -125,28 +126,30 @@ def q77(t: Star, start: str = "1998-08-04") -> DataFrame:
     return channel_totals(union_all(*parts))
 
 
-def item_sets_in_all_channels(t: Star, year: int) -> DataFrame:
-    """Items whose brand, class and category sold in every channel in three years."""
-    keys = ["i_brand_id", "i_class_id", "i_category_id"]
-    s = match(all_sales(t), days(t, f"d_year between {year} and {year + 2}"), sold_date_sk="d_date_sk")
-    s = match(s, t.item, item_sk="i_item_sk")
-    # presence of all three channels in one aggregation instead of two intersections
-    sold = s.where("i_brand_id is not null and i_class_id is not null and i_category_id is not null").groupBy(
-        *[col(k).alias("x_" + k) for k in keys]).agg(*[F.max(col("channel") == c).alias(c) for c in CHANNELS])
-    sold = sold.where("store and catalog and web")
-    return match(t.item, sold, "left_semi", **{k: "x_" + k for k in keys}).select(col("i_item_sk").alias("cross_sk"))
+SET = ("i_brand_id", "i_class_id", "i_category_id")
+
 
+def channel_profile(t: Star, year: int) -> DataFrame:
+    """Per brand, class and category: the channels that sold it in three years, and its worth.
 
-def mean_sale(t: Star, year: int) -> DataFrame:
+    One pass over all channels; both the item sets and the mean sale come from it.
+    """
     s = match(all_sales(t), days(t, f"d_year between {year} and {year + 2}"), sold_date_sk="d_date_sk")
-    return s.agg(mean(col("quantity") * col("list_price")).alias("average_sales"))
+    s = match(s, t.item.select("i_item_sk", *SET), "left", item_sk="i_item_sk")
+    return materialized(s.groupBy(*[col(k).alias("x_" + k) for k in SET]).agg(
+        *[F.max(col("channel") == c).alias(c) for c in CHANNELS],
+        total(col("quantity") * col("list_price")).alias("worth"), F.count("*").alias("lines")))
 
 
 def cross_item_sales(t: Star, s: DataFrame, year: int, *extra) -> DataFrame:
-    s = match(match(s, item_sets_in_all_channels(t, year), "left_semi", item_sk="cross_sk"), t.item, item_sk="i_item_sk")
-    sums = s.groupBy("channel", "i_brand_id", "i_class_id", "i_category_id", *extra).agg(
+    """Sales of the item sets found in every channel that exceed the mean sale."""
+    profile = channel_profile(t, year)
+    typical = profile.agg((total("worth") / F.sum("lines")).alias("m"))
+    everywhere = profile.where("store and catalog and web")
+    items = match(t.item, everywhere, "left_semi", **{k: "x_" + k for k in SET})
+    sums = match(s, items, item_sk="i_item_sk").groupBy("channel", *SET, *extra).agg(
         total(col("quantity") * col("list_price")).alias("sales"), F.count("*").alias("number_sales"))
-    return sums.where(col("sales") > mean_sale(t, year).scalar())
+    return sums.where(col("sales") > typical.scalar())
 
 
 @report

@@ -21,7 +21,7 @@ def class_share(t: Star, channel: str, categories, start: str) -> DataFrame:
     s = match(sales(t, channel), day_span(t, start, 30), sold_date_sk="d_date_sk")
     s = match(s, t.item.where(col("i_category").isin(list(categories))), item_sk="i_item_sk")
     keys = ["i_item_id", "i_item_desc", "i_category", "i_class", "i_current_price"]
-    items = s.groupBy(*keys).agg(total("ext_sales_price").alias("itemrevenue"))
+    items = materialized(s.groupBy(*keys).agg(total("ext_sales_price").alias("itemrevenue")))
     out = with_group(items, ["i_class"], total("itemrevenue").alias("_class"))
     return out.select(*keys, "itemrevenue", (col("itemrevenue") * 100 / col("_class")).alias("revenueratio"))
 
@@ -50,7 +50,7 @@ def q44(t: Star, store: int = 50, k: int = 10) -> DataFrame:
     s = t.store_sales.where(col("ss_store_sk") == store)
     base = s.where("ss_hdemo_sk is null").agg(mean("ss_net_profit").alias("base"))
     items = s.groupBy(col("ss_item_sk").alias("item_sk")).agg(mean("ss_net_profit").alias("rank_col"))
-    items = items.where(col("rank_col") > base.scalar() * 0.9)
+    items = materialized(items.where(col("rank_col") > base.scalar() * 0.9))
     up = first_ranks(items, "rank_col", "rnk", k)
     down = first_ranks(items, "rank_col", "rnk", k, descending=True).select(
         col("rnk").alias("rnk2"), col("item_sk").alias("item2"))
@@ -136,7 +136,7 @@ def deviating(t: Star, key: str, period: str, mean_name: str, month: int, lines)
     s = match(t.store_sales, days(t, f"d_month_seq between {month} and {month + 11}"), ss_sold_date_sk="d_date_sk")
     s = match(match(s, t.item.where(wanted), ss_item_sk="i_item_sk"), t.store.select("s_store_sk"),
               ss_store_sk="s_store_sk")
-    sums = s.groupBy(key, period).agg(total("ss_sales_price").alias("sum_sales"))
+    sums = materialized(s.groupBy(key, period).agg(total("ss_sales_price").alias("sum_sales")))
     out = with_group(sums, [key], mean("sum_sales").alias(mean_name))
     return out.where(ratio(F.abs(col("sum_sales") - col(mean_name)), mean_name) > 0.1).select(
         key, "sum_sales", mean_name)
@@ -162,7 +162,7 @@ def q89(t: Star, year: int = 2000,
     s = match(t.store_sales, days(t, f"d_year = {year}"), ss_sold_date_sk="d_date_sk")
     s = match(match(s, t.item.where(wanted), ss_item_sk="i_item_sk"), t.store, ss_store_sk="s_store_sk")
     keys = ["i_category", "i_class", "i_brand", "s_store_name", "s_company_name", "d_moy"]
-    sums = s.groupBy(*keys).agg(total("ss_sales_price").alias("sum_sales"))
+    sums = materialized(s.groupBy(*keys).agg(total("ss_sales_price").alias("sum_sales")))
     out = with_group(sums, ["i_category", "i_brand", "s_store_name", "s_company_name"],
                      mean("sum_sales").alias("avg_monthly_sales"))
     off = F.abs(col("sum_sales") - col("avg_monthly_sales"))

@@ -14,6 +14,7 @@ RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }

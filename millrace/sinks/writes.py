@@ -57,7 +57,7 @@ LAYOUTS = ("plain", "partitioned", "zstd", "sorted")
 def write_layout(df: DataFrame, layout: str, key: str, path: str) -> None:
     writer = {"plain": lambda: df.write, "partitioned": lambda: df.hint("rebalance", key).write.partitionBy(key),
               "zstd": lambda: df.write.option("compression", "zstd"),
-              "sorted": lambda: df.repartitionByRange(key).sortWithinPartitions(key).write}[layout]()
+              "sorted": lambda: df.hint("rebalance", key).sortWithinPartitions(key).write}[layout]()
     writer.mode("overwrite").parquet(path)
 
 

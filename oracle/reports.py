@@ -164,10 +164,10 @@ case("q17", dict(first="1998Q1", later=_QUARTERS),
      f"select i_item_id, i_item_desc, s_state, {_STATS} "
      f"{_chain(chr(100) + '_quarter_name = ' + repr('1998Q1'), f'd_quarter_name in {_QUARTERS}', f'd_quarter_name in {_QUARTERS}')} group by all",
      "i_item_id i_item_desc s_state")
-case("q25", dict(year=1997, first=1, last=12), f"""
+case("q25", dict(year=1999, first=1, last=12), f"""
   select i_item_id, i_item_desc, s_store_id, s_store_name, round(sum(ss_net_profit), 2) as store_sales_profit,
     round(sum(sr_net_loss), 2) as store_returns_loss, round(sum(cs_net_profit), 2) as catalog_sales_profit
-  {_chain('d_moy = 1 and d_year = 1997', 'd_year = 1997', 'd_year = 1997')} group by all""",
+  {_chain("d_moy = 1 and d_year = 1999", "d_year = 1999", "d_year = 1999")} group by all""",
      "i_item_id i_item_desc s_store_id s_store_name")
 case("q29", dict(year=1997, month=4, window=8, years=4), f"""
   select i_item_id, i_item_desc, s_store_id, s_store_name, cast(sum(ss_quantity) as bigint) as store_sales_quantity,
