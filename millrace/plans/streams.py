@@ -150,3 +150,15 @@ def k15_offset_batches(t: Tables):
 def t14_deduplicated(t: Tables):
     s = event_stream(t).withColumn("key", F.concat_ws("-", "user_id", "event_type"))
     return collected(windows.deduplicated(s, "key", "40 days").select("key"), t, "dedup")
+
+
+@query
+def j19_cogrouped_streams(t: Tables):
+    """Daily views and clicks of each user from two streams."""
+    def daily(kind: str) -> DataFrame:
+        s = event_stream(t).where(col("event_type") == kind).select("publish_time", "user_id")
+        return windows.users_in_windows(s, "1 day")
+
+    both = windows.cogrouped(daily("view"), daily("click"), "events_in_window", "events_in_window")
+    out = collected(both, t, "cogrouped")
+    return out.select(F.date_trunc("day", "at").alias("day"), "user_id", col("left_value").alias("views"), col("right_value").alias("clicks"))

@@ -3,7 +3,8 @@
 Every batch first takes the earliest message of each key, so that a second one
 in the same batch finds the key complete.  Statuses live in an append-only log
 in which the newest row of a key wins; all outputs are folders per batch, so a
-batch that is run again replaces what it wrote.
+batch that is run again replaces what it wrote.  Every so many batches the log
+is folded into one row per key, which starts a new generation of the log.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from millrace.operators.relational import match, union_all
 from millrace.sinks import folders
 from millrace.sinks.writes import newest
 
-STATUS = "uid string, data string, status string, seq int, batch bigint"
+STATUS = "uid string, data string, status string, seq int, gen int, batch bigint"
 
 
 def validated(messages: DataFrame) -> DataFrame:
@@ -54,24 +55,45 @@ def accepted(rows: DataFrame) -> DataFrame:
     return rows.withColumn("rejected", F.expr("try_cast(uid as bigint)").isNull())
 
 
-def read_log(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    if not folders.children(spark, path):
+def generation(spark: SparkSession, path: str) -> int:
+    """Newest generation whose folded rows are completely written."""
+    found = [int(c[4:]) for c in folders.children(spark, path) if c.startswith("gen=")]
+    return max([g for g in found if folders.exists(spark, f"{path}/gen={g}/batch=-1/_SUCCESS")], default=0)
+
+
+def read_log(spark: SparkSession, path: str, before: int | None = None, gen: int | None = None) -> DataFrame:
+    """Log rows of all generations or of one; ``batch`` -1 holds folded or seeded rows."""
+    if not folders.children(spark, path) or (gen is not None and not folders.exists(spark, f"{path}/gen={gen}")):
         return spark.createDataFrame([], STATUS)
-    log = spark.read.schema(STATUS).parquet(path)
+    reader = spark.read.schema(STATUS).option("basePath", path)
+    log = reader.parquet(path if gen is None else f"{path}/gen={gen}")
     return log if before is None else log.where(F.col("batch") < before)
 
 
 def current_status(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    return newest(read_log(spark, path, before), "uid", ["batch", "seq"])
+    """Newest row per key; reads only the current generation."""
+    log = read_log(spark, path, before, generation(spark, path)).select("uid", "data", "status", "seq", "batch")
+    return newest(log, "uid", ["batch", "seq"])
 
 
 def seed_status(rows: DataFrame, path: str) -> None:
     """Statuses known before the stream starts: uid, data, status."""
-    rows.withColumn("seq", F.lit(0)).write.mode("overwrite").parquet(f"{path}/batch=-1")
+    rows.withColumn("seq", F.lit(0)).write.mode("overwrite").parquet(f"{path}/gen=0/batch=-1")
+
+
+def fold_status(spark: SparkSession, path: str, before: int) -> int:
+    """Start a generation with one row per key known before a batch; safe to repeat."""
+    gen = generation(spark, path) + 1
+    rows = current_status(spark, path, before).select("uid", "data", "status", "seq")
+    rows.write.mode("overwrite").parquet(f"{path}/gen={gen}/batch=-1")
+    return gen
 
 
-def route_batch(batch: DataFrame, batch_id: int, out: str, two_phase: bool = False) -> None:
+def route_batch(batch: DataFrame, batch_id: int, out: str, two_phase: bool = False, fold_every: int = 100) -> None:
     spark = batch.sparkSession
+    if batch_id > 0 and batch_id % fold_every == 0:
+        fold_status(spark, f"{out}/status", batch_id)
+    gen = generation(spark, f"{out}/status")
     # the batch feeds four writes
     batch = batch.persist()
     try:
@@ -85,7 +107,7 @@ def route_batch(batch: DataFrame, batch_id: int, out: str, two_phase: bool = Fal
             rejected = sink.where("rejected").select("data", "attributes", F.lit("write").alias("step_name"))
             writes = {"duplicates": sink.where("not rejected").select("uid", "data", "status"),
                       "dead_letters": union_all(failed, rejected),
-                      "status": status_rows(routed, two_phase)}
+                      f"status/gen={gen}": status_rows(routed, two_phase)}
             for name, df in writes.items():
                 df.write.mode("overwrite").parquet(f"{out}/{name}/batch={batch_id}")
         finally:
@@ -94,6 +116,7 @@ def route_batch(batch: DataFrame, batch_id: int, out: str, two_phase: bool = Fal
         batch.unpersist()
 
 
-def start_routing(messages: DataFrame, out: str, checkpoint: str, two_phase: bool = False) -> StreamingQuery:
-    return (messages.writeStream.foreachBatch(lambda df, i: route_batch(df, i, out, two_phase))
+def start_routing(messages: DataFrame, out: str, checkpoint: str, two_phase: bool = False,
+                  fold_every: int = 100) -> StreamingQuery:
+    return (messages.writeStream.foreachBatch(lambda df, i: route_batch(df, i, out, two_phase, fold_every))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -47,3 +47,14 @@ def users_in_windows(events: DataFrame, size: str = "5 seconds", delay: str = DE
 def deduplicated(messages: DataFrame, key: str, delay: str) -> DataFrame:
     """First message per key; keys are forgotten once the watermark has passed."""
     return messages.withWatermark("publish_time", delay).dropDuplicatesWithinWatermark([key])
+
+
+def cogrouped(left: DataFrame, right: DataFrame, left_value: str, right_value: str) -> DataFrame:
+    """Two windowed streams joined on window and user; both hold one row per pair.
+
+    The window time carries the watermark, so join state is dropped with it.
+    """
+    a = left.select(F.window_time("w").alias("at"), F.col("user_id").alias("user_id"), F.col(left_value).alias("left_value"))
+    b = right.select(F.window_time("w").alias("b_at"), F.col("user_id").alias("b_user"), F.col(right_value).alias("right_value"))
+    both = a.join(b, (F.col("at") == F.col("b_at")) & (F.col("user_id") == F.col("b_user")))
+    return both.select("at", "user_id", "left_value", "right_value")

@@ -35,3 +35,8 @@ sql("t10_k20_dead_letters", f"""{_R} select 'write' as step_name, count(*) as n
 sql("t12_micro_appends", "select event_type, count(*) as n from events group by 1")
 sql("k15_offset_batches", "select count(*) as n, count(*) as offsets from events")
 sql("t14_deduplicated", "select distinct user_id || '-' || event_type as key from events")
+sql("j19_cogrouped_streams", """with d as (
+    select date_trunc('day', ts) as day, user_id, count(*) filter (event_type = 'view') as views, count(*) filter (event_type = 'click') as clicks
+    from events group by all),
+  m as (select least(max(ts) filter (event_type = 'view'), max(ts) filter (event_type = 'click')) as mark from events)
+  select cast(day as timestamp) as day, user_id, views, clicks from d, m where views > 0 and clicks > 0 and day + interval 1 day <= date_trunc('millisecond', mark)""")

@@ -63,23 +63,25 @@ def test_enrichment_and_error_rows(spark, folder):
     assert [r["step_name"] for r in spark.read.parquet(folder + "/result_err").collect()] == ["extractElement"]
 
 
-def routes(spark, folder, two_phase=False):
-    drain(routing.start_routing(messages.message_files(spark, folder + "/in", per_batch=1), folder, folder + "/check", two_phase))
+def routes(spark, folder, two_phase=False, fold_every=100):
+    drain(routing.start_routing(messages.message_files(spark, folder + "/in", per_batch=1), folder, folder + "/check", two_phase,
+                                fold_every))
     status = {r["uid"]: r["status"] for r in routing.current_status(spark, folder + "/status").collect()}
     duplicates = sorted(r["uid"] for r in spark.read.parquet(folder + "/duplicates").collect())
     dead = sorted(r["step_name"] for r in spark.read.parquet(folder + "/dead_letters").collect())
     return status, duplicates, dead
 
 
-@pytest.mark.parametrize("two_phase", [False, True])
-def test_routing_within_and_across_batches(spark, folder, two_phase):
+@pytest.mark.parametrize("two_phase, fold_every", [(False, 100), (True, 100), (True, 1)])
+def test_routing_within_and_across_batches(spark, folder, two_phase, fold_every):
     known = spark.createDataFrame([("5", "{}", "pending"), ("6", "{}", "complete")], "uid string, data string, status string")
     routing.seed_status(known, folder + "/status")
     same = ('{"n": 1}', {"uid": "1"}, 1)
     send(spark, folder, [same, same, ('{"n": 2}', {"uid": "1"}, 2), ('{"n": 3}', {"uid": "5"}, 3), ('{"n": 4}', {}, 4)])
     send(spark, folder, [('{"n": 5}', {"uid": "1"}, 5), ('{"n": 6}', {"uid": "6"}, 6), ('{"n": 7}', {"uid": "bad"}, 7),
                          ('{"n": 8}', {"uid": "bad"}, 8)])
-    status, duplicates, dead = routes(spark, folder, two_phase)
+    status, duplicates, dead = routes(spark, folder, two_phase, fold_every)
+    assert routing.generation(spark, folder + "/status") == (1 if fold_every == 1 else 0)
     assert status == {"1": "complete", "5": "complete", "6": "complete", "bad": "complete"}
     assert duplicates == ["1", "1", "1", "6"]
     assert dead == ["extractElement", "write"]
@@ -93,8 +95,9 @@ def test_a_repeated_batch_replaces_its_output(spark, folder):
     for _ in range(2):
         routing.route_batch(batch, 0, folder)
     assert spark.read.parquet(folder + "/duplicates").count() == 1
-    assert spark.read.parquet(folder + "/status").count() == 1
-    routing.route_batch(batch, 1, folder)
+    assert routing.read_log(spark, folder + "/status").count() == 1
+    for _ in range(2):
+        routing.route_batch(batch, 1, folder, fold_every=1)
     assert spark.read.parquet(folder + "/duplicates").count() == 3
 
 
