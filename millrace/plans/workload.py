@@ -91,7 +91,7 @@ def log_metrics(lines: DataFrame, key: str) -> DataFrame:
         metric = F.when(col("value").contains(marker), name).otherwise(metric)
     found = lines.select(key, metric.alias("metric"), number.alias("number")).where("metric is not null")
     scaled = F.when(col("metric").contains("Throughput"), col("number")).otherwise(col("number") / 1000)
-    # the last line of a kind wins; ties do not occur within one log
+    # a log holds one line per metric
     return found.groupBy(key).pivot("metric", [n for _, n in LOG_METRICS]).agg(F.bround(F.max(scaled)).cast("bigint"))
 
 

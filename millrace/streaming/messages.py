@@ -28,8 +28,8 @@ def kafka_messages(spark: SparkSession, servers: str, topic: str | None = None,
 
 
 def table_stream(spark: SparkSession, folder: str, name: str, schema) -> DataFrame:
-    """One raw table of a folder as a stream of Parquet files."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    """One raw table, a file or a folder of files, as a stream."""
+    return spark.readStream.schema(schema).parquet(f"{folder}/{name}.parquet*")
 
 
 def decoded(messages: DataFrame) -> DataFrame:
