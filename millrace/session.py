@@ -30,6 +30,8 @@ def local(cores: int | str = "*", app: str = "millrace") -> SparkSession:
     """Session for tests and the local bench."""
     spark = (SparkSession.builder.master(f"local[{cores}]").appName(app)
              .config("spark.sql.shuffle.partitions", "8" if cores == "*" else str(cores))
+             # a small table in one row group is read by one task; joining it by shuffle uses all cores
+             .config("spark.sql.autoBroadcastJoinThreshold", "1m")
              .config("spark.driver.memory", os.environ.get("MILLRACE_DRIVER_MEMORY", "12g"))
              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

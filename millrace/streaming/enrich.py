@@ -48,7 +48,13 @@ def start_enrichment(lines: DataFrame, countries: DataFrame, history: DataFrame,
     users = users_in_windows(p.where((F.col("event_name") == event) & F.col("step_name").isNull()))
 
     def results(batch: DataFrame, batch_id: int) -> None:
-        write_batch(enriched(batch, countries, history), batch_id, f"{out}/result")
+        # the windows of the batch are joined three times but taken from the state once
+        users = batch.persist()
+        try:
+            full = enriched(users, countries, history)
+            write_batch(full.limit(0) if users.isEmpty() else full, batch_id, f"{out}/result")
+        finally:
+            users.unpersist()
 
     def errors(batch: DataFrame, batch_id: int) -> None:
         write_batch(batch.select("step_name", "user_id"), batch_id, f"{out}/result_err")
