@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate
+from millrace.llm import decontaminate, neardup, private, quality
 
-QUERIES = {"op6_decontaminate": decontaminate.op6_decontaminate}
-SQL = {"op6_decontaminate": decontaminate.SQL_op6}
+QUERIES = {
+    "op2_near_duplicates": neardup.op2_near_duplicates,
+    "op6_decontaminate": decontaminate.op6_decontaminate,
+    "op8_quality_rules": quality.op8_quality_rules,
+    "op10_personal_data": private.op10_personal_data,
+}
+SQL = {
+    "op2_near_duplicates": neardup.SQL_op2,
+    "op6_decontaminate": decontaminate.SQL_op6,
+}
