@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, neardup, private, quality
+import corpus_pipeline
+from millrace.llm import chat, decontaminate, mixing, neardup, private, quality
 
 QUERIES = {
+    "op1_chat_format": chat.op1_chat_format,
     "op2_near_duplicates": neardup.op2_near_duplicates,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op8_quality_rules": quality.op8_quality_rules,
+    "op9_mix_sources": mixing.op9_mix_sources,
     "op10_personal_data": private.op10_personal_data,
+    "pipeline": corpus_pipeline.run,
 }
 SQL = {
+    "op1_chat_format": chat.SQL_op1,
     "op2_near_duplicates": neardup.SQL_op2,
     "op6_decontaminate": decontaminate.SQL_op6,
+    "op9_mix_sources": mixing.SQL_op9,
 }
