@@ -51,3 +51,9 @@ def covered(starts: Column, lengths: Callable[[Column], Column] | int, at: Calla
 
 def read(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def small_batches(spark) -> None:
+    """Bound what a Python worker gets at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
