@@ -21,6 +21,9 @@ _LOWER[65:91] += 32
 _VALUE = (_random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1))[_LOWER]
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
+#: everything in ASCII but letters and digits separates
+MARKS = np.zeros(256, bool)
+MARKS[:128] = [not chr(i).isalnum() for i in range(128)]
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -54,13 +57,23 @@ class Piece:
     ends: np.ndarray
     data: np.ndarray     # original bytes
     offsets: np.ndarray  # of the rows in data
+    sums: np.ndarray     # running sum of what the bytes of words add to hashes
+    inner: np.ndarray    # where each word begins in sums
 
     def __len__(self) -> int:
         return len(self.bounds) - 1
 
+    def beginnings(self, size: int) -> np.ndarray:
+        """Hashes of the first ``size`` bytes of each word; 0 for words that are no longer."""
+        longer = self.ends - self.starts > size
+        out = np.zeros(len(self.words), np.uint64)
+        at = self.inner[longer]
+        out[longer] = mix(self.sums[at + size] - self.sums[at] + np.uint64(size << 32))
+        return out
 
-def _words(data: np.ndarray, offsets: np.ndarray, first: int) -> Piece:
-    word = ~_BLANK[data]
+
+def _words(data: np.ndarray, offsets: np.ndarray, first: int, blank: np.ndarray) -> Piece:
+    word = ~blank[data]
     begins = np.empty(len(data), bool)
     begins[:1] = True
     np.logical_not(word[:-1], out=begins[1:])
@@ -72,18 +85,20 @@ def _words(data: np.ndarray, offsets: np.ndarray, first: int) -> Piece:
     lengths = np.diff(inner, append=len(at))
     place = np.arange(len(at)) - np.repeat(inner, lengths)
     power = np.cumprod(np.full(int(lengths.max(initial=0)) + 1, _STEP))
-    hashes = np.add.reduceat(_VALUE[data[at]] * power[place], inner) if len(inner) else np.zeros(0, np.uint64)
+    sums = np.zeros(len(at) + 1, np.uint64)
+    np.cumsum(_VALUE[data[at]] * power[place], out=sums[1:])
+    hashes = sums[inner + lengths] - sums[inner]
     return Piece(first, mix(hashes + lengths.astype(np.uint64)), np.searchsorted(starts, offsets), starts, starts + lengths,
-                 data, offsets)
+                 data, offsets, sums, inner)
 
 
-def pieces(column: pa.Array, size: int = PIECE) -> Iterator[Piece]:
+def pieces(column: pa.Array, size: int = PIECE, blank: np.ndarray = _BLANK) -> Iterator[Piece]:
     data, offsets = buffer(column)
     rows, first = len(offsets) - 1, 0
     while first < rows:
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1)
         part = offsets[first:last + 1]
-        yield _words(data[part[0]:part[-1]], part - part[0], first)
+        yield _words(data[part[0]:part[-1]], part - part[0], first, blank)
         first = last
 
 
