@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from millrace.llm import chat, decontaminate, mixing, neardup, private, quality, suffix_tree
+from millrace.llm import (chat, decontaminate, language, mixing, neardup, private, quality, suffix_tree, toxicity)
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
     "op2_near_duplicates": neardup.op2_near_duplicates,
+    "op3_toxicity": toxicity.op3_toxicity,
+    "op4_language": language.op4_language,
     "op5_suffix_tree_scores": suffix_tree.op5_suffix_tree_scores,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op8_quality_rules": quality.op8_quality_rules,
