@@ -2,12 +2,12 @@
 
 Documents with the same set are one class first, represented by its smallest
 id, so copies cost nothing later.  Each class gets a signature; classes that
-agree in a band share a bucket.  The pairs of a bucket are not listed.  In each
-turn some members of a bucket are pivots and are compared with the members that
-are not yet in their component; then they leave the bucket.  Links join
-components, and a bucket is done when its members are in one component, so
-every proposed pair is either compared or already connected.  The number of
-pivots grows fourfold with the turns.
+agree in a band share a bucket.  The pairs of a bucket are not listed: its
+members are compared with the smallest one, and links join components.  What
+is still apart in a bucket goes to new buckets by its rarest shingles, as many
+as a link must share one of, where the members outside the largest component
+are held in blocks and the others stream past them.  So every proposed pair is
+compared, already connected or shown to share too little.
 
 A pair is compared batch by batch of its signatures: it is dropped as soon as
 the posterior probability that the similarity reaches the limit, given the
@@ -46,6 +46,7 @@ class Params:
     rows: int = 5
     batch: int = 32        # hashes compared between two tests
     miss: float = 1e-6     # posterior probability below which a pair is dropped
+    block: int = 64        # members of a bucket that are held while the others stream past
     salts: int = 16        # parts of the pairs of one document in verification
 
 
@@ -165,18 +166,120 @@ def _verified(pairs: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
     return rows.mapInArrow(run, "a bigint, b bigint")
 
 
-def _turn_pairs(members: DataFrame, state: DataFrame, pivots: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs to compare now, and the members of unfinished buckets that stay for the next turn."""
-    now = members.join(state, "id")
-    open_ = now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-    now = materialized(now.join(open_, "key"))
-    order = W.partitionBy("key").orderBy(F.col("size").desc(), "c", "id")
-    pivot = now.withColumn("n", F.row_number().over(order)).where(F.col("n") <= pivots)
-    pivot = pivot.select("key", F.col("id").alias("pid"), F.col("c").alias("pc"))
-    met = now.join(pivot, "key").where(F.col("c") != F.col("pc"))
-    pairs = met.select(F.least("id", "pid").alias("a"), F.greatest("id", "pid").alias("b")).distinct()
-    rest = now.join(pivot.select("key", F.col("pid").alias("id")), ["key", "id"], "left_anti").select("key", "id")
-    return pairs, rest
+def _open(members: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one component."""
+    mixed = members.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
+    return members.join(mixed, "key")
+
+
+def _sets(texts: DataFrame, p: Params) -> DataFrame:
+    """Rows ``id, n_set, hashes``: the shingles of texts as sorted 32-bit hashes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for piece in pieces(batch.column(1)):
+                found = [np.unique((shingles(piece.words[piece.bounds[r]:piece.bounds[r + 1]], p.shingle) >> np.uint64(32))
+                                   .astype(np.uint32)) for r in range(len(piece))]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, len(piece)), pa.array([len(f) for f in found], pa.int64()),
+                     pa.array([f.tobytes() for f in found], pa.binary())], ["id", "n_set", "hashes"])
+                at += len(piece)
+
+    return texts.select("id", "text").mapInArrow(run, "id bigint, n_set bigint, hashes binary")
+
+
+def _exploded(sets: DataFrame) -> DataFrame:
+    """Rows ``id, c, h`` of the sets of ``id, c, hashes``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = [np.frombuffer(x, np.uint32) for x in batch.column(2).to_pylist()]
+            if not hashes:
+                continue
+            times = [len(x) for x in hashes]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(batch.column(i).to_numpy(), times)) for i in (0, 1)]
+                + [pa.array(np.concatenate(hashes).astype(np.int64))], ["id", "c", "h"])
+
+    return sets.select("id", "c", "hashes").mapInArrow(run, "id bigint, c bigint, h bigint")
+
+
+def _prefixes(now: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+    """Buckets ``key, id, n`` of the members that are still apart, by their rarest shingles.
+
+    A link of x and y needs (100 + percent) * intersection >= percent * (|x| + |y|),
+    and y is no smaller than the smallest member of a shared bucket, nor than
+    percent of x.  So x and y share one of the first |x| - intersection + 1
+    shingles of x, in any order of all shingles.  Those that one component alone
+    holds come first, since they make no pairs, then the rare ones.
+    """
+    least = now.groupBy("key").agg(F.min("n").alias("low"))
+    ids = now.join(least, "key").groupBy("id", "c", "n").agg(F.min("low").alias("low"))
+    # the set of 32-bit hashes may be a little smaller than the real one: its size, less two, keeps every link
+    ids = ids.join(sets, "id").withColumn("n", F.col("n_set"))
+    rows = materialized(_exploded(ids))
+    mixed = rows.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("df")).where("lo < hi")
+    held = rows.join(mixed.select("h", "df"), "h").select("id", "h", "df")
+    own = W.partitionBy("id")
+    held = held.withColumn("place", F.row_number().over(own.orderBy("df", "h"))).withColumn("held", F.count("*").over(own))
+    partner = F.greatest("low", F.ceil(F.col("n") * p.percent / 100))
+    needed = F.ceil(p.percent * (F.col("n") + partner) / (100 + p.percent)) - 2
+    # the n - held shingles that only one component holds stand before the first place
+    return held.join(ids.drop("hashes"), "id").where(F.col("place") + F.col("n") - F.col("held") <= F.col("n") - needed + 1).select(
+        F.col("h").alias("key"), "id")
+
+
+def _block_pairs(members: DataFrame, tokens: DataFrame, p: Params) -> DataFrame:
+    """Pairs ``a, b`` of different components that share a bucket and enough shingles.
+
+    In a bucket all members outside its largest component are pivots.  They are
+    dealt to blocks of about ``block``, and the members of the bucket stream
+    past each block; the shingles that a member shares with the pivots are
+    counted at once.  Shingles are 32-bit hashes here, so two may fall together:
+    pairs may be two short of the limit, and full sets decide afterwards.
+    """
+    heads = members.groupBy("key").agg(F.max_by("c", F.struct("size", "c")).alias("main"), F.count("*").alias("m"))
+    split = members.join(heads, "key").withColumn("pivot", F.col("c") != F.col("main"))
+    blocks = split.where("pivot").groupBy("key").agg(F.ceil(F.count("*") / p.block).cast("int").alias("blocks"))
+    split = split.join(blocks, "key").select("key", "id", "c", "pivot", "blocks")
+    own = split.where("pivot").select("key", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), "id", "c", F.lit(0).alias("role"))
+    met = split.select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "id", "c", F.lit(1).alias("role"))
+    rows = own.unionByName(met).join(tokens, "id").select("key", "block", "role", "id", "c", "n", "hashes")
+    rows = rows.repartition("key", "block").sortWithinPartitions("key", "block", "role")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, pivots, table = None, [], None
+        for batch in batches:
+            out_a, out_b = [], []
+            for key, block, role, i, c, n, raw in zip(*(x.to_pylist() for x in batch.columns)):
+                if (key, block) != at:
+                    at, pivots, table = (key, block), [], None
+                hashes = np.frombuffer(raw, np.uint32)
+                if role == 0:
+                    pivots.append((i, c, n, hashes))
+                    continue
+                if table is None:
+                    known, place = np.unique(np.concatenate([x[3] for x in pivots]), return_inverse=True)
+                    table = np.zeros((len(known), len(pivots)), np.uint8)
+                    table[place, np.repeat(np.arange(len(pivots)), [len(x[3]) for x in pivots])] = 1
+                    ids, cs, ns = (np.array([x[j] for x in pivots]) for j in range(3))
+                found = np.searchsorted(known, hashes)
+                found[found == len(known)] = 0
+                both = table[found[known[found] == hashes]].sum(0, dtype=np.int64) + 2
+                for x in ids[(cs != c) & ((100 + p.percent) * both >= p.percent * (ns + n))]:
+                    out_a.append(min(i, int(x)))
+                    out_b.append(max(i, int(x)))
+            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
+
+    return rows.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def _hooked(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows ``id, c, size``: each node hung twice on its smallest linked one; equal labels are always connected."""
+    up = links.groupBy(F.greatest("a", "b").alias("c")).agg(F.min(F.least("a", "b")).alias("up"))
+    label = nodes.select("id", F.col("id").alias("c"))
+    for _ in range(2):
+        label = label.join(up, "c", "left").select("id", F.coalesce("up", "c").alias("c"))
+    return label.join(label.groupBy("c").agg(F.count("*").alias("size")), "c").select("id", "c", "size")
 
 
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", params: Params = Params()) -> DataFrame:
@@ -188,30 +291,30 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", params:
     classes = materialized(linked.groupBy("same").agg(F.min("id").alias("rep")))
     # a row that repeats an id may belong to another class; signatures go with the set
     reps = linked.join(classes, "same").where("id = rep").dropDuplicates(["same"])
-    reps = materialized(reps.select(F.col("rep").alias("id"), "keys", "bytes"))
-    every = reps.select("id", F.explode("keys").alias("key"))
+    reps = materialized(reps.select(F.col("rep").alias("id"), F.col("n_shingles").alias("n"), "keys", "bytes"))
+    every = reps.select("id", "n", F.explode("keys").alias("key"))
     shared = every.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
-    members = materialized(every.join(shared, "key").select("key", "id").distinct())
-    tried = members.select("id").distinct()
-    state = materialized(tried.select("id", F.col("id").alias("c"), F.lit(1).cast("bigint").alias("size")))
+    members = materialized(every.join(shared, "key").select("key", "id", "n"))
+    tried = materialized(members.select("id").distinct())
     texts = materialized(docs.join(tried, "id", "left_semi").dropDuplicates(["id"]))
     small = reps.join(tried, "id", "left_semi").select("id", "bytes")
 
-    turn = 0
-    while not members.isEmpty():
-        pairs, members = _turn_pairs(members, state, 4 ** max(0, turn - 1))
-        first, second = small.toDF("a", "x"), small.toDF("b", "y")
-        likely = materialized(_plausible(pairs.join(first, "a").join(second, "b"), p))
-        links = materialized(_verified(likely, texts, p))
-        label = state.select("id", "c")
-        joined = links.join(label.toDF("a", "u"), "a").join(label.toDF("b", "v"), "b").select("u", "v")
-        root = roots(joined).toDF("c", "root")
-        state = state.join(root, "c", "left").select("id", F.coalesce("root", "c").alias("c"))
-        sizes = state.groupBy("c").agg(F.count("*").alias("size"))
-        state, members, turn = materialized(state.join(sizes, "c").select("id", "c", "size")), materialized(members), turn + 1
-
-    found = classes.join(state.select(F.col("id").alias("rep"), "c"), "rep", "left").select(
-        "same", F.coalesce("c", "rep").alias("component"))
+    # first pass: every member of a bucket with the smallest one
+    first = members.groupBy("key").agg(F.min("id").alias("a"))
+    pairs = members.join(first, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct()
+    pairs = pairs.join(small.toDF("a", "x"), "a").join(small.toDF("b", "y"), "b")
+    links = materialized(_verified(materialized(_plausible(pairs, p)), texts, p))
+    state = materialized(_hooked(tried, links))
+
+    # second pass: what is still apart in a bucket, by its rarest shingles
+    apart = materialized(_open(members.join(state, "id")))
+    rows = materialized(_sets(texts.join(apart.select("id").distinct(), "id", "left_semi"), p))
+    close = materialized(_open(_prefixes(apart, rows, p).join(state, "id")))
+    more = _block_pairs(close, rows.select("id", F.col("n_set").alias("n"), "hashes"), p)
+    links = links.unionByName(_verified(materialized(more), texts, p))
+
+    root = roots(links.toDF("u", "v")).toDF("rep", "root")
+    found = classes.join(root, "rep", "left").select("same", F.coalesce("root", "rep").alias("component"))
     alone = F.when(F.col("keys").isNull(), F.lit(None)).otherwise(F.col("same"))
     return sketched.select("id", "n_shingles", alone.alias("same")).join(found, "same", "left").select(
         "id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
