@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from millrace.llm import (chat, decontaminate, language, mixing, neardup, private, quality, suffix_tree, toxicity)
+from millrace.llm import (chat, decontaminate, language, mixing, neardup, private, quality, suffix_tree, toxicity, wrappers)
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
@@ -12,6 +12,7 @@ QUERIES = {
     "op4_language": language.op4_language,
     "op5_suffix_tree_scores": suffix_tree.op5_suffix_tree_scores,
     "op6_decontaminate": decontaminate.op6_decontaminate,
+    "op7_main_text": wrappers.op7_main_text,
     "op8_quality_rules": quality.op8_quality_rules,
     "op9_mix_sources": mixing.op9_mix_sources,
     "op10_personal_data": private.op10_personal_data,
