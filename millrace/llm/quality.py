@@ -27,7 +27,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.text import BLANKS, blank_words, count_of, covered, let, read, whole
+from millrace.llm.text import BLANKS, blank_words, count_of, covered, let, read, stored, whole
 from millrace.session import materialized
 
 REPEAT_WINDOW = 5
@@ -63,7 +63,11 @@ def _repeated_words(w: Column, size: int) -> Column:
 
 
 def statistics(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The kept columns (prefixed ``c_``) and the statistics of the whole text."""
+    """The kept columns (prefixed ``c_``) and the statistics of the whole text.
+
+    Write the result before filtering on it: a condition would be pushed down
+    and compute the statistics once per use.
+    """
     t, w = F.col("_t"), F.col("_w")
     lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.translate(x, BLANKS, "")) > 0)
     base = docs.select(*[F.col(c).alias(f"c_{c}") for c in keep], whole(F.col(text)).alias("_t"))
@@ -215,7 +219,7 @@ def op8_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 def kept(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents that pass the base rule and every learned rule, all columns kept."""
-    rules = learn(statistics(docs.select("doc_id", "text")), labels)
     names = docs.columns
-    judged = statistics(docs, keep=tuple(names))
+    judged = stored(statistics(docs, keep=tuple(names)), "quality")
+    rules = learn(judged, labels)
     return judged.where(~base_failed() & rejects(rules).isNull()).select(*[F.col(f"c_{c}").alias(c) for c in names])

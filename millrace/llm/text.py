@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.session import scratch
+
 #: the blanks of the word rule ``[^\x20\x09-\x0D]+``
 BLANKS = " \t\n\x0b\f\r"
 
@@ -49,10 +51,22 @@ def covered(starts: Column, lengths: Callable[[Column], Column] | int, at: Calla
     return F.aggregate(starts, zero, step, lambda acc: acc["sum"])
 
 
+def held_out(doc_id: Column, parts: int, part: int) -> Column:
+    """Whether crc32 of the id as text leaves ``part`` by ``parts``; rows without id are held out."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % parts == part, F.lit(True))
+
+
 def read(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder as a table and read again; columns that are not used are not read."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small_batches(spark) -> None:
     """Bound what a Python worker gets at once."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
