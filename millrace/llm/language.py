@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.text import read, small_batches
+from millrace.llm.text import held_out, read, small_batches
 from millrace.llm.tokens import _LOWER, PIECE, buffer
 
 UNKNOWN = "und"
@@ -141,12 +141,8 @@ def fit(data: np.ndarray, used: np.ndarray, y: np.ndarray, languages: int, p: Pa
     return net
 
 
-def _held(doc_id, parts: int, part: int):
-    return F.coalesce(F.crc32(doc_id.cast("string")) % parts == part, F.lit(True))
-
-
 def train(docs: DataFrame, parts: int, part: int, p: Params) -> tuple[list[str], dict[str, np.ndarray]]:
-    rows = docs.where(F.col("lang").isNotNull() & ~_held(F.col("id"), parts, part) & F.col("text").rlike(r"\p{L}"))
+    rows = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("id"), parts, part) & F.col("text").rlike(r"\p{L}"))
     sizes = rows.groupBy("lang").count().collect()  # one row per language
     names = sorted(r["lang"] for r in sizes)
     if not names:
@@ -156,7 +152,7 @@ def train(docs: DataFrame, parts: int, part: int, p: Params) -> tuple[list[str],
     for r in sizes:
         share = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, p.sample / len(names) / r["count"]))).otherwise(share)
     sample = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share * (1 << 20)).select(
-        "id", "lang", F.substring("text", F.lit(1), F.lit(1 << 20)).alias("text")).repartition(1).sortWithinPartitions("id")
+        "id", "lang", "text").repartition(1).sortWithinPartitions("id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rng = np.random.Generator(np.random.PCG64(9))
@@ -225,7 +221,7 @@ def predictions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lan
         return out / np.maximum(np.diff(offsets), 1)[:, None]
 
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    rows = docs.select("id", _held(F.col("id"), parts, part).alias("held"), letters.alias("known"), "text")
+    rows = docs.select("id", held_out(F.col("id"), parts, part).alias("held"), letters.alias("known"), "text")
     return rows.mapInArrow(run, "doc_id bigint, held_out boolean, lang_pred string, score double")
 
 

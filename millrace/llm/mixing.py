@@ -10,7 +10,7 @@ order.
 Defined cases: null texts have no characters; documents without source are a
 source of their own; sources without characters or with weight 0 get rate 0 and
 no copy; repeated rows get equal numbers of copies; an empty table gives no
-rows; other columns are carried along.
+rows; other columns are carried along, but for ones named ``copy`` and ``place``.
 """
 
 from __future__ import annotations
@@ -62,13 +62,15 @@ def _uniform(hashed: Column) -> Column:
 def replicated(docs: DataFrame, weights: dict[str | None, float] | None = None, budget: int | None = None, seed: int = SEED,
                source: str = "source", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Copies of the documents, all columns, with ``copy`` (from 1) and ``place``, the hash by which they are shuffled."""
-    table = rates(docs, weights, budget, source, text)
+    names = [c for c in docs.columns if c not in ("copy", "place")]
+    docs = docs.select(*names)
+    table = rates(docs, weights, budget, source, text).toDF("_mix_source", "_mix_rate", "_mix_below")
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.md5(whole(F.col(text)))))
-    drawn = docs.withColumn("_key", key).join(table, F.col(source).eqNullSafe(F.col("_source")))
-    copies = F.size(F.filter("below", lambda p: p <= _uniform(F.col("_key"))))
-    drawn = drawn.withColumn("_n", copies).where("_n > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-    drawn = drawn.withColumn("place", F.md5(F.concat_ws(":", "_key", "copy")))
-    return drawn.select(*[docs[c] for c in docs.columns], "copy", "place").repartition("place").sortWithinPartitions("place", "copy")
+    drawn = docs.withColumn("_mix_key", key).join(table, F.col(source).eqNullSafe(F.col("_mix_source")))
+    copies = F.size(F.filter("_mix_below", lambda p: p <= _uniform(F.col("_mix_key"))))
+    drawn = drawn.withColumn("_mix_n", copies).where("_mix_n > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_mix_n"))))
+    drawn = drawn.withColumn("place", F.md5(F.concat_ws(":", "_mix_key", "copy")))
+    return drawn.select(*names, "copy", "place").repartition("place").sortWithinPartitions("place", "copy")
 
 
 def op9_mix_sources(spark, sf_dir: str) -> DataFrame:

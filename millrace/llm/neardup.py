@@ -17,9 +17,9 @@ pair with probability (1 - 0.8^5)^32 = 3e-6, less above.
 
 Defined cases: null and empty texts, and texts without words, have no shingle
 and are linked with nothing; a text with fewer words than a shingle has its
-whole sequence as one; rows without id are linked with nothing; rows that share
-an id share their component if their texts are linked; other columns are not
-read; empty tables give no rows.
+whole sequence as one; rows without id are linked with nothing; an id names one
+text, so rows that repeat an id repeat its result; other columns are not read;
+empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -329,9 +329,13 @@ def op2_near_duplicates(spark, sf_dir: str) -> DataFrame:
 
 def representatives(docs: DataFrame, params: Params = Params()) -> DataFrame:
     """One document of each group, all columns kept; repeated rows of it count once."""
-    dropped = groups(docs, params=params).where("id <> component").select(F.col("id").alias("_dropped")).distinct()
-    first = docs.where(F.col("doc_id").isNull()).unionByName(docs.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]))
-    return first.join(dropped, F.col("doc_id") == F.col("_dropped"), "left_anti")
+    found = materialized(groups(docs, params=params))
+    dropped = found.where("id <> component").select(F.col("id").alias("_dropped")).distinct()
+    repeated = found.where("id is not null").groupBy(F.col("id").alias("_repeated")).count().where("count > 1").select("_repeated")
+    left = docs.join(dropped, F.col("doc_id") == F.col("_dropped"), "left_anti")
+    single = left.join(repeated, F.col("doc_id") == F.col("_repeated"), "left_anti")
+    several = left.join(repeated, F.col("doc_id") == F.col("_repeated"), "left_semi").dropDuplicates(["doc_id"])
+    return single.unionByName(several)
 
 
 SQL_op2 = r"""

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.text import read, small_batches
+from millrace.llm.text import held_out, read, small_batches
 from millrace.llm.tokens import MARKS, Piece, mix, pieces
 from millrace.session import materialized
 
@@ -75,13 +75,9 @@ def fit(texts: Iterator[tuple[np.ndarray, int]], p: Params) -> np.ndarray:
     return weights(np.arange(size))
 
 
-def _held(doc_id, parts: int, part: int):
-    return F.coalesce(F.crc32(doc_id.cast("string")) % parts == part, F.lit(True))
-
-
 def train(docs: DataFrame, labels: DataFrame, parts: int, part: int, p: Params, label: str = "toxic") -> tuple[np.ndarray, np.ndarray]:
     """Coordinates and values of the weights that are not 0."""
-    marked = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~_held(F.col("doc_id"), parts, part))
+    marked = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id"), parts, part))
     marked = materialized(marked.groupBy(F.col("doc_id").alias("_id")).agg(F.max(label).cast("int").alias("y")))
     share = min(1.0, p.sample / max(marked.count(), 1))
     # the sample is bounded, so it can be sent to every executor
@@ -125,7 +121,7 @@ def scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
                     [batch.column(0).slice(piece.first, len(piece)), batch.column(1).slice(piece.first, len(piece)), pa.array(score),
                      pa.array((score >= 0.5).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
-    rows = docs.select("id", _held(F.col("id"), parts, part).alias("held"), "text")
+    rows = docs.select("id", held_out(F.col("id"), parts, part).alias("held"), "text")
     return rows.mapInArrow(run, "doc_id bigint, held_out boolean, score double, predicted int")
 
 
