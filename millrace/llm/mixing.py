@@ -39,7 +39,8 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, budge
     sizes = sizes.withColumn("weight", F.when(F.col("size") > 0, weight).otherwise(0.0))
     total = sizes.agg(F.sum("weight").alias("w"), F.sum("size").alias("s"))
     whole_budget = total.select("s").scalar() if budget is None else F.lit(budget)
-    rate = F.coalesce(F.col("weight") / total.select("w").scalar() * whole_budget / F.col("size"), F.lit(0.0))
+    share = F.col("weight") / F.nullif(total.select("w").scalar(), F.lit(0.0))
+    rate = F.coalesce(share * whole_budget / F.nullif(F.col("size"), F.lit(0)), F.lit(0.0))
     sizes = sizes.withColumn("rate", rate)
     top = F.ceil(F.col("rate") + 10 * F.sqrt("rate") + 20).cast("int")
 
