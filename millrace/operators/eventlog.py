@@ -10,11 +10,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from millrace.operators.ranking import count_offsets, count_percentiles
+from millrace.operators.ranking import count_percentiles
+from millrace.session import shuffle_parts
 
 
-def surviving(events: DataFrame, keys: list[str], value: str, at: str, step: str, slices: int = 256) -> DataFrame:
-    """Keys, value and ``n`` copies left; ``step`` is +1 or -1, ``at`` a unique integer order."""
+def surviving(events: DataFrame, keys: list[str], value: str, at: str, step: str, slices: int | None = None) -> DataFrame:
+    """Keys, value and ``n`` copies left; ``step`` is +1 or -1, ``at`` a unique integer order.
+
+    By default there are as many slices as a shuffle has parts.
+    """
+    slices = slices or shuffle_parts(events.sparkSession)
     span = events.agg(F.min(at).alias("lo"), F.max(at).alias("hi"))
     width = F.greatest(F.ceil((span.select("hi").scalar() - span.select("lo").scalar() + 1) / slices), F.lit(1))
     sliced = events.withColumn("_slice", F.floor((F.col(at) - span.select("lo").scalar()) / width))
@@ -32,5 +37,4 @@ def surviving(events: DataFrame, keys: list[str], value: str, at: str, step: str
 
 def lower_median(counted: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Left-middle value of each counted multiset; an empty one has no row."""
-    places = count_offsets(counted, value, keys)
-    return count_percentiles(places, value, [0.5], keys, interpolate=False).select(*keys, F.col("value").alias("median"))
+    return count_percentiles(counted, value, [0.5], keys, interpolate=False).select(*keys, F.col("value").alias("median"))

@@ -5,19 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def nested(df: DataFrame, keys: list[str], item: Column, name: str, part_by: Column,
-           limit: int = 10_000) -> DataFrame:
-    """One row per key with its items in a sorted array.
+def nested(df: DataFrame, keys: list[str], item: Column, name: str, part: Column) -> DataFrame:
+    """A row per key and ``part`` with the items in a sorted array.
 
-    A key with more than about ``limit`` items is split over several rows,
-    told apart by ``part``, so no task ever holds a whole hot key.  Ordinary
-    keys have the single part 0.  ``part_by`` spreads the items of a key.
+    ``part`` is a rule on the item that bounds how many fall together, such as
+    its calendar month, whatever the size of the key; every key is split by it.
     """
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    parts = F.ceil(F.col("_n") / limit)
-    big = sizes.where(F.col("_n") > limit).select(*[F.col(k).alias("_k_" + k) for k in keys], parts.alias("_parts"))
-    on = [F.col(k).eqNullSafe(F.col("_k_" + k)) for k in keys]
-    # few keys can exceed the limit, so this side is broadcast after its size is known
-    spread = df.join(big, on, "left").withColumn(
-        "part", F.coalesce(F.pmod(F.xxhash64(part_by), F.col("_parts")), F.lit(0)).cast("int"))
-    return spread.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(item)).alias(name))
+    return df.groupBy(*keys, part.alias("part")).agg(F.sort_array(F.collect_list(item)).alias(name))

@@ -11,12 +11,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from millrace.operators.relational import same, with_group
-from millrace.session import materialized
-
-
-# distinct values that one task may place on its own
-SMALL = 100_000
+from millrace.operators.relational import same
+from millrace.session import materialized, shuffle_parts
 
 
 def cut_points(df: DataFrame, value: str, ranges: int) -> list:
@@ -35,29 +31,48 @@ def slot_of(value: Column, cuts: list, first: int = 0) -> Column:
         slot_of(value, cuts[middle + 1:], first + middle + 1))
 
 
-def value_offsets(df: DataFrame, value: str, keys: list[str] | None = None, ranges: int = 64) -> DataFrame:
-    """Per key and distinct non-null value: ``n`` rows with it and ``before`` rows below it."""
-    keys = keys or []
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
-    return count_offsets(counts, value, keys, ranges)
+def value_counts(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
+    return df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
 
 
-def count_offsets(counts: DataFrame, value: str, keys: list[str], ranges: int = 64) -> DataFrame:
-    """Add ``before`` to rows of key, distinct value and count ``n``."""
+def ranged(counts: DataFrame, value: str, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Counts with the range (``_slot``) of their value, and per key and range its ``_size``, the rows before it and of the key.
+
+    There are as many ranges as a shuffle has parts.
+    """
+    ranges = shuffle_parts(counts.sparkSession)
     counts = materialized(counts)
-    if counts.count() <= SMALL:
-        below = W.partitionBy(*keys).orderBy(value).rowsBetween(W.unboundedPreceding, -1)
-        return counts.select(*keys, value, "n", F.coalesce(F.sum("n").over(below), F.lit(0)).alias("before"))
     counts = counts.withColumn("_slot", slot_of(F.col(value), cut_points(counts, value, ranges)))
     sizes = counts.groupBy(*keys, "_slot").agg(F.sum("n").alias("_size"))
-    # at most `ranges` rows per key reach this window
-    earlier = W.partitionBy(*keys).orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
-    sizes = sizes.withColumn("_base", F.coalesce(F.sum("_size").over(earlier), F.lit(0))).drop("_size")
-    inside = W.partitionBy(*keys, "_slot").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
-    placed = counts.withColumn("_inner", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    sizes = sizes.toDF(*["_b_" + c if c in keys + ["_slot"] else c for c in sizes.columns])
+    if keys:
+        # at most `ranges` rows per key reach these windows
+        own = W.partitionBy(*keys)
+        earlier = own.orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
+        return counts, sizes.withColumns({"_base": F.coalesce(F.sum("_size").over(earlier), F.lit(0)), "_total": F.sum("_size").over(own)})
+    # one row per range
+    rows, base, total = sorted(sizes.collect()), 0, 0
+    out = []
+    for slot, size in rows:
+        out.append((slot, size, base))
+        base += size
+    total = base
+    return counts, counts.sparkSession.createDataFrame([(*r, total) for r in out], "_slot int, _size bigint, _base bigint, _total bigint")
+
+
+def _placed(counts: DataFrame, sizes: DataFrame, value: str, keys: list[str]) -> DataFrame:
+    """Counts of the given ranges with ``before``, the rows of the key below the value."""
+    renamed = sizes.withColumnsRenamed({c: "_b_" + c for c in keys + ["_slot"]})
     on = reduce(lambda a, b: a & b, [same(F.col(c), F.col("_b_" + c)) for c in keys + ["_slot"]])
-    return placed.join(sizes, on).select(*keys, value, "n", (F.col("_base") + F.col("_inner")).alias("before"))
+    inside = W.partitionBy(*keys, "_slot").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
+    placed = counts.join(renamed, on).withColumn("_inner", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    return placed.withColumn("before", F.col("_base") + F.col("_inner"))
+
+
+def value_offsets(df: DataFrame, value: str, keys: list[str] | None = None) -> DataFrame:
+    """Per key and distinct non-null value: ``n`` rows with it and ``before`` rows below it."""
+    keys = keys or []
+    counts, sizes = ranged(value_counts(df, value, keys), value, keys)
+    return _placed(counts, sizes, value, keys).select(*keys, value, "n", "before")
 
 
 def with_rank(df: DataFrame, value: str, name: str, keys: list[str] | None = None,
@@ -76,39 +91,42 @@ def with_rank(df: DataFrame, value: str, name: str, keys: list[str] | None = Non
 
 def first_ranks(df: DataFrame, value: str, name: str, k: int, descending: bool = False) -> DataFrame:
     """Rows whose ``rank()`` is at most ``k``; needs only the ``k`` leading values."""
-    by = F.col(value).desc() if descending else F.col(value).asc()
-    lead = (df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("_lead"))
-            .agg(F.count("*").alias("_n")).orderBy(F.col("_lead").desc() if descending else F.col("_lead"))
-            .limit(k))
-    earlier = W.orderBy(F.col("_lead").desc() if descending else F.col("_lead")).rowsBetween(
-        W.unboundedPreceding, -1)
-    lead = lead.withColumn(name, F.coalesce(F.sum("_n").over(earlier), F.lit(0)) + 1).where(F.col(name) <= k)
-    return df.join(lead, F.col(value) == F.col("_lead")).drop("_lead", "_n")
+    leading = (df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("_lead")).agg(F.count("*").alias("_n"))
+               .orderBy(F.col("_lead").desc() if descending else F.col("_lead")).limit(k))
+    ranks, before = [], 0
+    for r in leading.collect():  # at most k rows
+        if before < k:
+            ranks.append((r["_lead"], before + 1))
+        before += r["_n"]
+    kind = leading.schema["_lead"].dataType.simpleString()
+    lead = df.sparkSession.createDataFrame(ranks, f"_lead {kind}, {name} bigint")
+    return df.join(lead, F.col(value) == F.col("_lead")).drop("_lead")
 
 
 def percentiles(df: DataFrame, value: str, shares: list[float], keys: list[str] | None = None,
                 interpolate: bool = True) -> DataFrame:
     """Exact percentiles; linear between neighbours, or the lower neighbour."""
     keys = keys or []
-    return count_percentiles(value_offsets(df, value, keys), value, shares, keys, interpolate)
+    return count_percentiles(value_counts(df, value, keys), value, shares, keys, interpolate)
 
 
-def count_percentiles(places: DataFrame, value: str, shares: list[float], keys: list[str],
+def count_percentiles(counts: DataFrame, value: str, shares: list[float], keys: list[str],
                       interpolate: bool = True) -> DataFrame:
-    """Percentiles from rows that carry ``n`` and ``before``."""
-    if keys:
-        places = with_group(places, keys, F.sum("n").alias("_total"))
-    else:
-        places = places.withColumn("_total", places.agg(F.sum("n").alias("_total")).scalar())
+    """Percentiles of distinct values with ``n`` copies; only the ranges that hold a wanted position are sorted."""
+    counts, sizes = ranged(counts, value, keys)
     targets = []
     for s in shares:
         position = F.lit(float(s)) * (F.col("_total") - 1)
         part = position - F.floor(position) if interpolate else F.lit(0.0)
         ends = [F.floor(position)] + ([F.ceil(position)] if interpolate else [])
         targets += [F.struct(F.lit(float(s)).alias("share"), part.alias("part"), e.alias("at")) for e in ends]
-    inside = F.filter(F.array(*targets), lambda x: (F.col("before") <= x["at"])
-                      & (x["at"] < F.col("before") + F.col("n")))
-    found = places.withColumn("hit", F.explode(inside))
+
+    def within(low, size):
+        return lambda x: (low <= x["at"]) & (x["at"] < low + size)
+
+    sizes = sizes.withColumn("_wanted", F.filter(F.array(*targets), within(F.col("_base"), F.col("_size")))).where(F.size("_wanted") > 0)
+    placed = _placed(counts, sizes, value, keys)
+    found = placed.withColumn("hit", F.explode(F.filter("_wanted", within(F.col("before"), F.col("n")))))
     out = found.groupBy(*keys, F.col("hit.share").alias("share")).agg(
         F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.max("hit.part").alias("_part"))
     return out.select(*keys, "share", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_part")).alias("value"))

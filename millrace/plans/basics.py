@@ -247,11 +247,11 @@ def j17_enrich_left(t: Tables):
 
 @query
 def j18_enrich_many(t: Tables):
-    """Errors of each customer as an array of structs, null when there are none."""
+    """Errors of each customer and month as an array of structs; one row with nulls when there are none."""
     item = F.struct(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"), col("value").alias("value"))
-    errors = nested(t.events.where("event_type = 'error'"), ["user_id"], item, "errors", col("event_id"))
+    errors = nested(t.events.where("event_type = 'error'"), ["user_id"], item, "errors", F.date_format("ts", "yyyy-MM"))
     s = match(t.customer, errors, "left", c_custkey="user_id")
-    return s.select("c_custkey", F.coalesce("part", F.lit(0)).alias("part"), F.to_json("errors").alias("errors"))
+    return s.select("c_custkey", "part", F.to_json("errors").alias("errors"))
 
 
 @query

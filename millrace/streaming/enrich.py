@@ -16,18 +16,17 @@ def country_of(users: DataFrame, countries: DataFrame) -> DataFrame:
     return match(users, one, "left", user_id="c_user").drop("c_user")
 
 
-def history_of(users: DataFrame, history: DataFrame, limit: int = 10_000) -> DataFrame:
+def history_of(users: DataFrame, history: DataFrame) -> DataFrame:
     """Earlier events per user as an array of structs, null when there are none.
 
-    Only the users at hand are looked up.  A history longer than ``limit`` is
-    split over several rows, numbered by ``part``.
+    Only the users at hand are looked up.  There is a row per user and month of
+    history (``part``), so a long history is never one group.
     """
     mine = history.join(users.select(F.col("user_id").alias("h_user")).distinct(), F.col("user_id") == F.col("h_user"), "left_semi")
     item = F.struct("event_date", "event_name", "device")
-    lists = nested(mine, ["user_id"], item, "events", F.xxhash64("event_date", "event_name", "device"), limit)
+    lists = nested(mine, ["user_id"], item, "events", F.substring("event_date", 1, 7))
     lists = lists.withColumnRenamed("user_id", "h_user")
-    out = match(users, lists, "left", user_id="h_user").drop("h_user")
-    return out.withColumn("part", F.coalesce("part", F.lit(0)))
+    return match(users, lists, "left", user_id="h_user").drop("h_user")
 
 
 def enriched(users: DataFrame, countries: DataFrame, history: DataFrame) -> DataFrame:

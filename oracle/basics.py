@@ -78,8 +78,9 @@ sql("j16_two_roles", """select b.n_name as buyer, s.n_name as seller, count(*) a
     join nation b on b.n_nationkey = c_nationkey join nation s on s.n_nationkey = s_nationkey
   where b.n_nationkey <> s.n_nationkey group by all""")
 sql("j17_enrich_left", """select event_id, user_id, (select c_mktsegment from customer where c_custkey = user_id and c_custkey % 3 <> 0) as segment from events""")
-sql("j18_enrich_many", """select c_custkey, 0 as part, '[' || (select string_agg('{"at":"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '","value":' || value || '}', ',' order by strftime(ts, '%Y-%m-%d %H:%M:%S'), value)
-    from events where event_type = 'error' and user_id = c_custkey) || ']' as errors from customer""")
+sql("j18_enrich_many", """with e as (select user_id, strftime(ts, '%Y-%m') as part, '[' || string_agg('{"at":"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '","value":' || value || '}',
+    ',' order by strftime(ts, '%Y-%m-%d %H:%M:%S'), value) || ']' as errors from events where event_type = 'error' group by all)
+  select c_custkey, part, errors from customer left join e on user_id = c_custkey""")
 sql("j20_result_with_stats", """select o_orderkey, o_totalprice, count(*) as lines, sum(l_quantity) as units
   from orders join lineitem on l_orderkey = o_orderkey group by all""")
 sql("j21_left_and_inner", """select user_id, n_name, count(*) filter (event_type = 'view') as views, count(*) filter (event_type = 'click') as clicks

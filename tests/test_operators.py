@@ -17,11 +17,13 @@ def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=str)
 
 
-@pytest.fixture(params=[True, False], ids=["one range", "many ranges"])
-def ranges(request, monkeypatch):
-    """Run with the small-table shortcut and with the split into ranges."""
-    if not request.param:
-        monkeypatch.setattr(ranking, "SMALL", 0)
+@pytest.fixture(params=[2, 50], ids=["two ranges", "many ranges"])
+def ranges(request, spark):
+    """Run with few and with many ranges; there is one path for all sizes."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(request.param))
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def sample(seed, n=400, hot=0.4):
@@ -100,12 +102,37 @@ def test_multiset_fold(spark, ranges, slices):
     assert {r["k"]: r["median"] for r in lower_median(left, ["k"], "v").collect()} == want
 
 
-def test_nested_splits_hot_keys_and_keeps_all(spark):
+def test_nested_splits_by_a_rule_and_keeps_all(spark):
     df = spark.range(1000).select(F.when(F.col("id") < 900, "hot").otherwise("cold").alias("k"), "id")
-    out = nested(df, ["k"], F.struct("id"), "items", F.col("id"), limit=100).collect()
+    out = nested(df, ["k"], F.struct("id"), "items", F.floor(F.col("id") / 100)).collect()
     assert sum(len(r["items"]) for r in out) == 1000
-    assert len([r for r in out if r["k"] == "hot"]) > 5
-    assert [r["part"] for r in out if r["k"] == "cold"] == [0]
+    assert sorted(r["part"] for r in out if r["k"] == "hot") == list(range(9))
+    assert all([x["id"] for x in r["items"]] == sorted(x["id"] for x in r["items"]) for r in out)
+
+
+def test_first_ranks_of_nothing(spark):
+    assert ranking.first_ranks(spark.createDataFrame([(1, None)], "id int, v double"), "v", "rk", 3).collect() == []
+
+
+def test_shared_folder(spark, monkeypatch, tmp_path):
+    from millrace import session
+
+    class Context:
+        master, found = "spark://somewhere:7077", None
+
+        def getCheckpointDir(self):
+            return self.found
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+    with pytest.raises(ValueError):
+        session.shared_folder(Session)
+    Session.sparkContext.found = "hdfs://shared/ckpt"
+    assert session.scratch(Session, "x").startswith("hdfs://shared/ckpt/x-")
 
 
 def test_group_totals_with_null_key(spark):
