@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -114,11 +115,17 @@ def expanded(config: DataFrame, catalog: DataFrame) -> DataFrame:
     named = config.where(~(day | some)).withColumnsRenamed({"input_dataset": "want_dataset", "input_table": "want_table"})
     tables = table_kind(catalog).select("project", F.col("dataset").alias("input_dataset"),
                                         F.col("table").alias("input_table"), "kind")
-    wide = F.col("want_dataset") == "*"
-    hit = ((named["input_project"] == tables["project"])
-           & (wide | (F.col("want_dataset") == F.col("input_dataset")))
-           & (wide | (F.col("want_table") == "*") | (F.col("want_table") == F.col("input_table"))))
-    out = named.join(tables, hit).drop("project", "want_dataset", "want_table")
+    # one equi-join per width of a request: all datasets, a whole dataset, a table
+    every, all_tables = F.col("want_dataset") == "*", F.col("want_table") == "*"
+    by_width = ((every, ["project"]), (~every & all_tables, ["project", "input_dataset"]),
+                (~every & ~all_tables, ["project", "input_dataset", "input_table"]))
+    wanted = {"project": "input_project", "input_dataset": "want_dataset", "input_table": "want_table"}
+    out = None
+    for width, keys in by_width:
+        asked = named.where(width)
+        hit = reduce(lambda a, b: a & b, [asked[wanted[k]] == tables[k] for k in keys])
+        found = asked.join(tables, hit).drop("project", "want_dataset", "want_table")
+        out = found if out is None else out.unionByName(found)
     return out.unionByName(shards)
 
 
