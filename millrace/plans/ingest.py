@@ -89,8 +89,8 @@ def s6_pipe_delimited(t: Tables):
 def s7_stacked_csv(t: Tables):
     path = scratch(t.spark, "wine")
     part = t.part.select("p_size", col("p_retailprice").alias("retail price"), "p_type")
-    for i, kind in enumerate(("SMALL", "LARGE")):
-        part.where(col("p_type") == kind).drop("p_type").write.csv(f"{path}/{i}", header=True, sep=";")
+    for i, kind in enumerate((col("p_type") != "LARGE", col("p_type") == "LARGE")):
+        part.where(kind).drop("p_type").write.csv(f"{path}/{i}", header=True, sep=";")
     rows = files.stacked_csv(t.spark, [f"{path}/0", f"{path}/1"], "is_large")
     return rows.groupBy("is_large").agg(F.count("*").alias("n"), total("retail_price").alias("worth"))
 
@@ -199,7 +199,7 @@ def s11_projected_read(t: Tables):
 def s14_numbered_rows(t: Tables):
     """Numbered test rows matched with the orders of the same number."""
     last = t.orders.agg(F.max("o_orderkey").alias("m")).first()["m"]
-    rows = files.numbered_rows(t.spark, 1, last + 1)
+    rows = files.numbered_rows(t.spark, 0, last + 1)
     return match(rows, t.orders, num="o_orderkey").groupBy("o_orderstatus").agg(
         F.count("*").alias("n"), F.max(F.length("text")).cast("bigint").alias("longest"))
 
