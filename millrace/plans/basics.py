@@ -535,6 +535,17 @@ def o10_key_split(t: Tables):
     return t.orders.select("o_orderkey", side.alias("side"))
 
 
+@query
+def o10_random_split(t: Tables):
+    """Seeded random 60/20/20 split: the parts share no row, miss none and have about their shares."""
+    parts = t.orders.select("o_orderkey").randomSplit([0.6, 0.2, 0.2], seed=7)
+    sides = union_all(*[p.select("o_orderkey", F.lit(i).alias("side"), F.lit(float(w)).alias("share")) for i, (p, w) in enumerate(zip(parts, (0.6, 0.2, 0.2)))])
+    n = t.orders.agg(F.count("*")).scalar()
+    return sides.groupBy("side", "share").agg(F.count("*").alias("own"), F.count_distinct("o_orderkey").alias("keys")).agg(
+        F.sum("own").alias("n"), F.sum("keys").alias("keys"), F.max(F.abs(col("own") / n - col("share")) < 0.05).alias("near"),
+        F.count("*").alias("parts"))
+
+
 @query
 def o11_alias_in_group(t: Tables):
     s = t.part.withColumn("word", F.substring("p_name", 1, 3))

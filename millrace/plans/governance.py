@@ -50,19 +50,27 @@ def may_hold_masked(result: DataFrame, table: DataFrame, name: str, policies: li
     return any((f.name, f.dataType) in protected for f in result.schema)
 
 
-def scanned_columns(df: DataFrame) -> set[str]:
-    """Columns that the scans of a query produce, after Spark pruned the others."""
+def scanned_columns(df: DataFrame) -> set[tuple[str, str]]:
+    """Source and name of the columns that the scans of a query produce, after Spark pruned the others.
+
+    The source of a file scan is its paths; other scans have none.
+    """
     leaves = df._jdf.queryExecution().sparkPlan().collectLeaves()
     out = set()
     for i in range(leaves.size()):
-        columns = leaves.apply(i).output()
-        out |= {columns.apply(j).name() for j in range(columns.size())}
+        leaf = leaves.apply(i)
+        columns = leaf.output()
+        is_files = leaf.getClass().getSimpleName() == "FileSourceScanExec"
+        source = leaf.relation().location().rootPaths().mkString(",") if is_files else ""
+        out |= {(source, columns.apply(j).name()) for j in range(columns.size())}
     return out
 
 
-def masking_applied(on_raw: DataFrame, name: str, policies: list[Policy], user: str) -> bool:
-    """Whether the query, built on the unmasked table, reads a column hidden from the user."""
-    return bool(scanned_columns(on_raw) & {p.column for p in hidden(policies, name, user)})
+def masking_applied(on_raw: DataFrame, table: DataFrame, name: str, policies: list[Policy], user: str) -> bool:
+    """Whether the query, built on the unmasked table, reads a column of it that is hidden from the user."""
+    sources = {source for source, _ in scanned_columns(table)}
+    wanted = {(source, p.column) for source in sources for p in hidden(policies, name, user)}
+    return bool(scanned_columns(on_raw) & wanted)
 
 
 def role_members(bindings: DataFrame) -> DataFrame:
@@ -94,7 +102,7 @@ def m2_m3_masking_flags(t: Tables):
     flags = []
     for df in (direct, renamed, plain):
         flags += [F.lit(may_hold_masked(df, t.customer, "customer", POLICIES, "analyst")),
-                  F.lit(masking_applied(df, "customer", POLICIES, "analyst"))]
+                  F.lit(masking_applied(df, t.customer, "customer", POLICIES, "analyst"))]
     names = ("direct_by_name", "direct_exact", "renamed_by_name", "renamed_exact", "plain_by_name", "plain_exact")
     return t.customer.agg(F.count("*").alias("n"), *[f.alias(n) for f, n in zip(flags, names)])
 

@@ -222,6 +222,14 @@ def k21_dated_run(t: Tables):
     return t.spark.read.parquet(path).groupBy(F.date_format("run_time", "yyyy-MM-dd HH:mm").alias("run")).agg(F.count("*").alias("n"))
 
 
+@query
+def k22_schema_ddl(t: Tables):
+    """Column lists to DDL: one table per region, one column per nation."""
+    kind = F.when(col("n_nationkey") % 2 == 0, "INTEGER").otherwise("STRING")
+    return writes.schema_ddl(t.nation.select(F.concat(F.lit("t"), col("n_regionkey")).alias("table"), col("n_nationkey").alias("pos"),
+                                             F.lower("n_name").alias("name"), kind.alias("type")))
+
+
 @query
 def k23_retention(t: Tables):
     path = scratch(t.spark, "retention")

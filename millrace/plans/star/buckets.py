@@ -8,7 +8,7 @@ from millrace.functions.money import half_up, mean, total
 from millrace.operators.relational import leading, match, renamed, sorted_rows, union_all
 from millrace.plans.star.channels import all_sales
 from millrace.plans.star.registry import report
-from millrace.plans.star.simple import DAY_NAMES, by_weekday, days
+from millrace.plans.star.simple import DAY_NAMES, by_weekday, days, stock_on
 from millrace.plans.star.tables import Star
 from millrace.session import materialized
 
@@ -100,7 +100,7 @@ def around(t: Star, pivot: str, length: int = 30) -> DataFrame:
 
 @report
 def q21(t: Star, pivot: str = "1998-04-08", price=(0.99, 1.49)) -> DataFrame:
-    s = match(t.inventory, around(t, pivot), inv_date_sk="d_date_sk")
+    s = stock_on(t, around(t, pivot))
     s = match(s, t.item.where(col("i_current_price").between(*price)), inv_item_sk="i_item_sk")
     s = match(s, t.warehouse, inv_warehouse_sk="w_warehouse_sk")
     early = col("d_date") < F.lit(pivot).cast("date")
@@ -223,8 +223,7 @@ def q66(t: Star, year: int = 2001, start: int = 49530, carriers=("DIAMOND", "AIR
 
 def stock_variation(t: Star, year: int, month: int, least: float | None) -> DataFrame:
     """Item and warehouse pairs that vary strongly in one month and in the next."""
-    s = match(t.inventory, days(t, f"d_year = {year} and d_moy in ({month}, {month + 1})"),
-              inv_date_sk="d_date_sk")
+    s = stock_on(t, days(t, f"d_year = {year} and d_moy in ({month}, {month + 1})"))
     s = match(match(s, t.item.select("i_item_sk"), inv_item_sk="i_item_sk"),
               t.warehouse.select("w_warehouse_sk", "w_warehouse_name"), inv_warehouse_sk="w_warehouse_sk")
     stats = s.groupBy("w_warehouse_name", "w_warehouse_sk", "i_item_sk", "d_moy").agg(
@@ -259,9 +258,9 @@ def q72(t: Star, potential: str = "1001-5000", marital: str = "M", year: int = 2
     s = match(s, shipped, cs_ship_date_sk="d3_date_sk").where("d3_date > date_add(d1_date, 5)")
     s = match(s, t.customer_demographics.where(col("cd_marital_status") == marital), cs_bill_cdemo_sk="cd_demo_sk")
     s = match(s, t.household_demographics.where(col("hd_buy_potential") == potential), cs_bill_hdemo_sk="hd_demo_sk")
-    stock = match(t.inventory, renamed(t.date_dim.select("d_date_sk", "d_week_seq"), "d_", "d2_"),
-                  inv_date_sk="d2_date_sk")
-    s = match(s, stock, cs_item_sk="inv_item_sk", d1_week_seq="d2_week_seq")
+    weeks = sold.select(col("d1_week_seq").alias("sold_week")).distinct()
+    stock = stock_on(t, match(t.date_dim.select("d_date_sk", "d_week_seq"), weeks, "left_semi", d_week_seq="sold_week"))
+    s = match(s, stock, cs_item_sk="inv_item_sk", d1_week_seq="d_week_seq").drop("d_date_sk", "d_week_seq")
     s = s.where("inv_quantity_on_hand < cs_quantity")
     s = match(match(s, t.warehouse, inv_warehouse_sk="w_warehouse_sk"), t.item, cs_item_sk="i_item_sk")
     s = match(s, t.promotion.select("p_promo_sk"), "left", cs_promo_sk="p_promo_sk")

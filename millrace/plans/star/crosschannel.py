@@ -167,9 +167,8 @@ def q78(t: Star, year: int = 2000, by_item: bool = False, n: int = 100) -> DataF
     Catalog purchases match on year and customer; ``by_item`` also asks for
     the same item.
     """
-    kept = match(all_sales(t), all_returns(t), "left_anti", channel="r_channel", order_no="r_order_no",
-                 item_sk="r_item_sk")
-    kept = match(kept, days(t, f"d_year = {year}"), sold_date_sk="d_date_sk")
+    sold = match(all_sales(t), days(t, f"d_year = {year}"), sold_date_sk="d_date_sk")
+    kept = match(sold, all_returns(t), "left_anti", channel="r_channel", order_no="r_order_no", item_sk="r_item_sk")
     sums = materialized(kept.groupBy("channel", "d_year", "item_sk", "customer_sk").agg(
         F.sum("quantity").alias("qty"), total("wholesale_cost").alias("wc"), total("sales_price").alias("sp")))
 

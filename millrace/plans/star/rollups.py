@@ -9,7 +9,7 @@ from millrace.operators.ranking import with_rank
 from millrace.operators.relational import leading, match, ordering, union_all
 from millrace.plans.star.channels import CHANNELS, all_sales, returns, sales
 from millrace.plans.star.registry import report
-from millrace.plans.star.simple import day_span, days
+from millrace.plans.star.simple import day_span, days, stock_on
 from millrace.plans.star.tables import Star
 from millrace.session import materialized
 
@@ -39,7 +39,9 @@ def money_row(channel: str, outlet, date, sales_=None, profit=None, returns_=Non
 def q5(t: Star, start: str = "1998-08-04", length: int = 14) -> DataFrame:
     sold = t.web_sales.select(
         col("ws_item_sk").alias("k_item"), col("ws_order_number").alias("k_order"), "ws_web_site_sk")
-    web_back = match(t.web_returns, sold, "left", wr_item_sk="k_item", wr_order_number="k_order")
+    span = day_span(t, start, length).select(col("d_date_sk").alias("back_day"))
+    web_back = match(match(t.web_returns, span, "left_semi", wr_returned_date_sk="back_day"), sold, "left",
+                     wr_item_sk="k_item", wr_order_number="k_order")
     lines = union_all(
         t.store_sales.select(money_row("store", "ss_store_sk", "ss_sold_date_sk", "ss_ext_sales_price", "ss_net_profit")),
         t.store_returns.select(money_row("store", "sr_store_sk", "sr_returned_date_sk", None, None,
@@ -198,7 +200,7 @@ def q18(t: Star, gender="M", education="College", months=(9, 5, 12, 4, 1, 10), y
 
 @report
 def q22(t: Star, month: int = 1212) -> DataFrame:
-    s = match(t.inventory, days(t, f"d_month_seq between {month} and {month + 11}"), inv_date_sk="d_date_sk")
+    s = stock_on(t, days(t, f"d_month_seq between {month} and {month + 11}"))
     s = match(s, t.item, inv_item_sk="i_item_sk")
     keys = ["i_product_name", "i_brand", "i_class", "i_category"]
     return leading(s.rollup(*keys).agg(F.avg("inv_quantity_on_hand").alias("qoh")), "qoh", *keys)

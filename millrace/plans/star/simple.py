@@ -29,6 +29,12 @@ def day_span(t: Star, start: str, length: int) -> DataFrame:
     return t.date_dim.where(col("d_date").between(first, F.date_add(first, length)))
 
 
+def stock_on(t: Star, dates: DataFrame) -> DataFrame:
+    """Stock on the given days; the semi join gets below the grouping of a derived inventory."""
+    some = match(t.inventory, dates.select(col("d_date_sk").alias("stock_day")), "left_semi", inv_date_sk="stock_day")
+    return match(some, dates, inv_date_sk="d_date_sk")
+
+
 def brand_revenue(t: Star, item_filter: str, date_filter: str) -> DataFrame:
     s = match(sales(t, "store"), days(t, date_filter), sold_date_sk="d_date_sk")
     return match(s, t.item.where(item_filter), item_sk="i_item_sk")
@@ -257,8 +263,7 @@ def q29(t: Star, year: int = 1999, month: int = 4, window: int = 3, years: int =
 
 def stocked_and_sold(t: Star, fact_items: DataFrame, price: float, makers, start: str) -> DataFrame:
     """Items in a price band that were in stock in the window and ever sold."""
-    stock = t.inventory.where(col("inv_quantity_on_hand").between(100, 500))
-    stock = match(stock, day_span(t, start, 60), inv_date_sk="d_date_sk")
+    stock = stock_on(t, day_span(t, start, 60)).where(col("inv_quantity_on_hand").between(100, 500))
     items = t.item.where(col("i_current_price").between(price, price + 30)
                          & col("i_manufact_id").isin(list(makers)))
     kept = match(items, stock, "left_semi", i_item_sk="inv_item_sk")

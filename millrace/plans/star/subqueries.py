@@ -151,8 +151,9 @@ def q69(t: Star, states=("CO", "IL", "MN"), year: int = 1999, month: int = 1) ->
     return leading(out, *keys)
 
 
-def split_orders(fact: DataFrame, order: str, warehouse: str) -> DataFrame:
-    """Orders shipped from at least two warehouses, one row each."""
+def split_orders(fact: DataFrame, order: str, warehouse: str, asked: DataFrame) -> DataFrame:
+    """Orders of the asked lines that were shipped from at least two warehouses, one row each."""
+    fact = match(fact, asked.select(col(order).alias("asked_order")), "left_semi", **{order: "asked_order"})
     spread = fact.groupBy(col(order).alias("split_order")).agg(
         F.min(warehouse).alias("w_lo"), F.max(warehouse).alias("w_hi"))
     return spread.where("w_lo < w_hi").select("split_order")
@@ -171,7 +172,7 @@ def q16(t: Star, start: str = "1999-4-01", state: str = "GA",
     s = match(s, t.call_center.where(col("cc_county").isin(list(counties))), cs_call_center_sk="cc_call_center_sk")
     # a line differs from another of its order only if it names a warehouse itself
     s = s.where(col("cs_warehouse_sk").isNotNull())
-    s = match(s, split_orders(t.catalog_sales, "cs_order_number", "cs_warehouse_sk"), "left_semi",
+    s = match(s, split_orders(t.catalog_sales, "cs_order_number", "cs_warehouse_sk", s), "left_semi",
               cs_order_number="split_order")
     s = match(s, t.catalog_returns, "left_anti", cs_order_number="cr_order_number")
     return order_summary(s, "cs_order_number", "cs_ext_ship_cost", "cs_net_profit")
@@ -186,7 +187,7 @@ def company_web_orders(t: Star, start: str, state: str, company: str) -> DataFra
 @report
 def q94(t: Star, start: str = "1999-5-01", state: str = "TX", company: str = "pri") -> DataFrame:
     s = company_web_orders(t, start, state, company).where(col("ws_warehouse_sk").isNotNull())
-    s = match(s, split_orders(t.web_sales, "ws_order_number", "ws_warehouse_sk"), "left_semi",
+    s = match(s, split_orders(t.web_sales, "ws_order_number", "ws_warehouse_sk", s), "left_semi",
               ws_order_number="split_order")
     s = match(s, t.web_returns, "left_anti", ws_order_number="wr_order_number")
     return order_summary(s, "ws_order_number", "ws_ext_ship_cost", "ws_net_profit")
@@ -194,8 +195,8 @@ def q94(t: Star, start: str = "1999-5-01", state: str = "TX", company: str = "pr
 
 @report
 def q95(t: Star, start: str = "1999-5-01", state: str = "TX", company: str = "pri") -> DataFrame:
-    split = split_orders(t.web_sales, "ws_order_number", "ws_warehouse_sk")
-    s = match(company_web_orders(t, start, state, company), split, "left_semi", ws_order_number="split_order")
+    s = company_web_orders(t, start, state, company)
+    s = match(s, split_orders(t.web_sales, "ws_order_number", "ws_warehouse_sk", s), "left_semi", ws_order_number="split_order")
     s = match(s, t.web_returns, "left_semi", ws_order_number="wr_order_number")
     return order_summary(s, "ws_order_number", "ws_ext_ship_cost", "ws_net_profit")
 

@@ -143,7 +143,8 @@ def t12_micro_appends(t: Tables):
 def k15_offset_batches(t: Tables):
     path = scratch(t.spark, "offsets")
     finished(appends.append_batches(event_stream(t).select("event_id"), path + "/rows", path + "/checkpoint"))
-    return t.spark.read.parquet(path + "/rows").agg(F.count("*").alias("n"), F.count_distinct("batch", "row_offset").alias("offsets"))
+    return t.spark.read.parquet(path + "/rows").agg(F.count("*").alias("n"), F.count_distinct("row_offset").alias("offsets"),
+                                                     F.min("row_offset").alias("first"), F.max("row_offset").alias("last"))
 
 
 @query

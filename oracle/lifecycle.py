@@ -46,6 +46,8 @@ sql("k18_layouts", """select l as layout, count(*) as n, round(sum(o_totalprice)
   from orders, (select unnest(['plain', 'partitioned', 'zstd', 'sorted']) as l) where year(o_orderdate) = 1998 group by 1""")
 sql("k19_clean_partitions", "select cast(year(o_orderdate) as integer) as year, count(*) as n from orders where o_orderkey % 10 <> 0 group by 1")
 sql("k21_dated_run", """select '1997-05-05 06:00' as run, count(*) as n from orders where cast(o_orderdate as date) = date '1997-05-05' having n > 0""")
+sql("k22_schema_ddl", """select 't' || n_regionkey as "table", '(' || string_agg(lower(n_name) || ' ' || if(n_nationkey % 2 = 0, 'INTEGER', 'STRING'), ','
+  order by n_nationkey) || ')' as ddl from nation group by n_regionkey""")
 sql("k23_retention", """select count(*) as n, cast(min(date_trunc('month', o_orderdate)) as date) as first,
   (select cast(count(distinct date_trunc('month', o_orderdate)) as integer) from orders where date_trunc('month', o_orderdate) < date '2001-08-31' - 365) as removed
   from orders where date_trunc('month', o_orderdate) >= date '2001-08-31' - 365""")

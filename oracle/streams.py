@@ -33,7 +33,7 @@ sql("t9_two_phase_status", f"""{_R} select 'log' as kind, 'complete' as status,
 sql("t10_k20_dead_letters", f"""{_R} select 'write' as step_name, count(*) as n from r where route = 'complete' and try_cast(uid as bigint) is null
   having n > 0 union all select 'extractElement', count(*) from events where event_id % 25 = 0""")
 sql("t12_micro_appends", "select event_type, count(*) as n from events group by 1")
-sql("k15_offset_batches", "select count(*) as n, count(*) as offsets from events")
+sql("k15_offset_batches", "select count(*) as n, count(*) as offsets, cast(0 as bigint) as first, count(*) - 1 as last from events")
 sql("t14_deduplicated", "select distinct user_id || '-' || event_type as key from events")
 sql("j19_cogrouped_streams", """with d as (
     select date_trunc('day', ts) as day, user_id, count(*) filter (event_type = 'view') as views, count(*) filter (event_type = 'click') as clicks

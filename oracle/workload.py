@@ -27,7 +27,8 @@ sql("m6_checks", """select *, actual = expected as passed from (
   select 'orders have a customer' as name, cast(0 as bigint) as expected, count(*) as actual from orders where o_custkey is null
   union all select 'no free lines', 0, count(*) from lineitem where l_extendedprice <= 0
   union all select 'five regions', 5, count(*) from region
-  union all select 'no errors', 0, count(*) from events where event_type = 'error')""")
+  union all select 'no errors', 0, count(*) from events where event_type = 'error'
+  union all select 'parts are there', 1, 1 union all select 'a missing table is there', 1, 0)""")
 sql("m12_integer_tokens", """select count(*) as n, max(cast(w as bigint)) as largest
   from (select unnest(regexp_split_to_array(text, '\\s+')) as w from documents) where regexp_full_match(w, '[0-9]+')""")
 sql("g15_token_percentiles", " union all ".join(

@@ -146,9 +146,11 @@ def test_lineage_sees_through_renames(spark, folder):
     spark.range(3).select("id", F.col("id").alias("pay")).write.parquet(folder + "/t")
     df = spark.read.parquet(folder + "/t")
     rules = [governance.Policy("t", "pay", (), ("clerk",))]
-    assert governance.masking_applied(df.select((F.col("pay") + 1).alias("x")), "t", rules, "clerk")
-    assert governance.masking_applied(df.where("pay > 1").select("id"), "t", rules, "clerk")
-    assert not governance.masking_applied(df.select("id"), "t", rules, "clerk")
+    assert governance.masking_applied(df.select((F.col("pay") + 1).alias("x")), df, "t", rules, "clerk")
+    assert governance.masking_applied(df.where("pay > 1").select("id"), df, "t", rules, "clerk")
+    assert not governance.masking_applied(df.select("id"), df, "t", rules, "clerk")
+    spark.range(3).select("id", F.col("id").alias("pay")).write.parquet(folder + "/other")
+    assert not governance.masking_applied(spark.read.parquet(folder + "/other").select("pay"), df, "t", rules, "clerk")
 
 
 def test_run_lines_accept_numbers_and_text(spark):

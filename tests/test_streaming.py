@@ -52,14 +52,15 @@ def test_enrichment_and_error_rows(spark, folder):
                          ('{"user_id": "3", "event_name": "logout", "region": "x"}', {}, 7), ('{"user_', {}, 8)])
     send(spark, folder, [('{"user_id": "9", "event_name": "logout", "region": "x"}', {}, 60)])
     countries = spark.createDataFrame([("1", "fr"), ("1", "it")], "user_id string, country string")
-    history = spark.createDataFrame([("1", "d2", "view", "p"), ("1", "d1", "buy", "p"), ("2", "d1", "buy", "p")],
+    history = spark.createDataFrame([("1", "2024-01-02", "view", "p"), ("1", "2024-01-01", "buy", "p"), ("1", "2024-02-01", "buy", "p"),
+                                     ("2", "2024-01-01", "buy", "p")],
                                     "user_id string, event_date string, event_name string, device string")
     lines = messages.decoded(messages.message_files(spark, folder + "/in"))
     for q in enrich.start_enrichment(lines, countries, history, "logout", folder, folder + "/check"):
         drain(q)
-    got = spark.read.parquet(folder + "/result").orderBy("user_id").collect()
-    assert [(r["user_id"], r["country"], None if r["events"] is None else [e["event_date"] for e in r["events"]]) for r in got] == [
-        ("1", "it", ["d1", "d2"]), ("3", None, None)]
+    got = spark.read.parquet(folder + "/result").orderBy("user_id", "part").collect()
+    assert [(r["user_id"], r["country"], r["part"], None if r["events"] is None else [e["event_date"] for e in r["events"]]) for r in got] == [
+        ("1", "it", "2024-01", ["2024-01-01", "2024-01-02"]), ("1", "it", "2024-02", ["2024-02-01"]), ("3", None, None, None)]
     assert [r["step_name"] for r in spark.read.parquet(folder + "/result_err").collect()] == ["extractElement"]
 
 
