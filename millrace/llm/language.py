@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.text import held_out, read, small_batches
-from millrace.llm.tokens import _LOWER, PIECE, buffer
+from millrace.llm.tokens import LOWER, PIECE, buffer
 
 UNKNOWN = "und"
 
@@ -118,7 +118,7 @@ def windows(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarra
     start = offsets[:-1][row] + nth * size
     used = np.minimum(size, offsets[1:][row] - start)
     at = np.minimum(start + np.arange(size)[:, None], max(len(data) - 1, 0))
-    out = _LOWER[data[at]] if len(data) else np.zeros((size, 0), np.uint8)
+    out = LOWER[data[at]] if len(data) else np.zeros((size, 0), np.uint8)
     out[np.arange(size)[:, None] >= used] = 32
     return out, used, row
 

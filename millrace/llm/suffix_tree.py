@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.text import read, small_batches
-from millrace.llm.tokens import _BLANK, _LOWER, Piece, pieces
+from millrace.llm.tokens import BLANK, LOWER, Piece, pieces
 from millrace.session import materialized, scratch
 
 END = 65          # no lower-cased text holds an A
@@ -66,7 +66,7 @@ def stream(piece: Piece, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     begins = first + np.arange(words) + row_of + depth * (row_of + 1)
     total = int(lengths.sum()) + words + rows * (1 + depth)
     out = np.full(total, PAD, np.uint8)
-    letters = _LOWER[piece.data[~_BLANK[piece.data]]]
+    letters = LOWER[piece.data[~BLANK[piece.data]]]
     out[np.arange(len(letters)) + np.repeat(begins - first, lengths)] = letters
     size = np.bincount(row_of, lengths + 1, minlength=rows).astype(np.int64) + 1 + depth
     ends = np.cumsum(size) - 1

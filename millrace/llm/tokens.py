@@ -16,11 +16,11 @@ import pyarrow as pa
 PIECE = 1 << 20
 
 _random = np.random.Generator(np.random.PCG64(20240607))
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_VALUE = (_random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1))[_LOWER]
-_BLANK = np.zeros(256, bool)
-_BLANK[[9, 10, 11, 12, 13, 32]] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+_VALUE = (_random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1))[LOWER]
+BLANK = np.zeros(256, bool)
+BLANK[[9, 10, 11, 12, 13, 32]] = True
 #: everything in ASCII but letters and digits separates
 MARKS = np.zeros(256, bool)
 MARKS[:128] = [not chr(i).isalnum() for i in range(128)]
@@ -92,7 +92,7 @@ def _words(data: np.ndarray, offsets: np.ndarray, first: int, blank: np.ndarray)
                  data, offsets, sums, inner)
 
 
-def pieces(column: pa.Array, size: int = PIECE, blank: np.ndarray = _BLANK) -> Iterator[Piece]:
+def pieces(column: pa.Array, size: int = PIECE, blank: np.ndarray = BLANK) -> Iterator[Piece]:
     data, offsets = buffer(column)
     rows, first = len(offsets) - 1, 0
     while first < rows:
