@@ -386,7 +386,7 @@ def g17_word_count(t: Tables):
 @query
 def g18_text_metrics(t: Tables):
     """Counters over every line: words, their lengths and blank lines."""
-    lines = t.documents.select(F.explode(F.split("text", "\n")).alias("line"))
+    lines = t.documents.select(F.explode(F.split(F.concat("text", F.lit("\n\n  ")), "\n")).alias("line"))
     lengths = F.transform(text.words(F.trim("line"), apostrophes=True), lambda w: F.length(w))
     n = lines.select(text.blank(col("line")).alias("blank"), lengths.alias("len"))
     n = n.select("blank", F.size("len").alias("words"), F.aggregate("len", F.lit(0), lambda a, x: a + x).alias("chars"),

@@ -98,7 +98,7 @@ def s7_stacked_csv(t: Tables):
 @query
 def s8_text_lines(t: Tables):
     path = scratch(t.spark, "text")
-    t.documents.select("text").write.text(path)
+    t.documents.select(F.concat("text", F.lit("\n\n  "))).write.text(path)
     lines = files.text_lines(t.spark, path)
     return lines.agg(F.count("*").alias("lines"), F.count_if(blank(col("value"))).alias("empty"),
                      F.sum(F.size(words(col("value"), True))).alias("words"))

@@ -183,7 +183,7 @@ def m14_seat_allocation(t: Tables):
     """Parts are seats, order lines are requests."""
     seats = t.part.select(col("p_partkey").alias("seat_no"), (col("p_partkey") % 3).cast("int").alias("status"),
                           F.when(col("p_partkey") % 3 > 0, col("p_partkey") % 50).alias("person_id"))
-    requests = t.lineitem.where("l_partkey % 4 <> 0").select(
+    requests = t.lineitem.select(
         (col("l_orderkey") * 10 + col("l_linenumber")).alias("request_id"), (1 + col("l_linenumber") % 2).alias("request"),
         col("l_partkey").alias("seat_no"), (col("l_suppkey") % 50).alias("person_id"))
     return allocate(seats, requests)

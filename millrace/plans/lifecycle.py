@@ -200,8 +200,11 @@ def k18_layouts(t: Tables):
     root = scratch(t.spark, "layouts")
     for layout in writes.LAYOUTS:
         writes.write_layout(orders(t).withColumn("year", F.year("day")), layout, "year", f"{root}/{layout}")
-        df = t.spark.read.parquet(f"{root}/{layout}").where("year = 1998")
-        out.append(df.agg(F.lit(layout).alias("layout"), F.count("*").alias("n"), total("o_totalprice").alias("worth")))
+        df = t.spark.read.parquet(f"{root}/{layout}")
+        folders_ = F.count_distinct(F.regexp_extract("_metadata.file_path", "year=([0-9]+)", 1)) - F.lit(int(layout != "partitioned"))
+        packed = F.min(F.col("_metadata.file_name").contains(".zstd."))
+        out.append(df.groupBy("year").agg(F.count("*").alias("n"), total("o_totalprice").alias("worth"), packed.alias("zstd"),
+                                          folders_.alias("folders")).withColumn("layout", F.lit(layout)))
     return union_all(*out)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.text import words
@@ -24,6 +26,14 @@ def finished(query) -> None:
         raise query.exception()
 
 
+def once(t: Tables, name: str, run: Callable[[], str]) -> str:
+    """Folder of a job that is run once for all queries that look at its results."""
+    done = t.__dict__.setdefault("_jobs", {})
+    if name not in done:
+        done[name] = run()
+    return done[name]
+
+
 def collected(stream: DataFrame, t: Tables, name: str) -> DataFrame:
     """Append a stream to a folder until its input ends, and read the folder."""
     path = scratch(t.spark, name)
@@ -67,6 +77,10 @@ def t3_users_in_windows(t: Tables):
 
 
 def run_enrichment(t: Tables) -> str:
+    return once(t, "enrichment", lambda: enrichment(t))
+
+
+def enrichment(t: Tables) -> str:
     countries = t.customer.where("c_custkey % 3 <> 0").select(col("c_custkey").cast("string").alias("user_id"), F.concat(F.lit("country "), col("c_nationkey")).alias("country"))
     history = t.events.where("event_type = 'purchase'").select(
         col("user_id").cast("string").alias("user_id"), F.date_format("ts", "yyyy-MM-dd").alias("event_date"),
@@ -97,6 +111,10 @@ def keyed_messages(t: Tables) -> DataFrame:
 
 
 def run_routing(t: Tables, two_phase: bool) -> str:
+    return once(t, f"routing {two_phase}", lambda: route(t, two_phase))
+
+
+def route(t: Tables, two_phase: bool) -> str:
     path = scratch(t.spark, "routing")
     known = t.customer.where("c_custkey % 5 < 2").select(
         col("c_custkey").cast("string").alias("uid"), F.lit("{}").alias("data"),

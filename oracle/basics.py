@@ -117,7 +117,7 @@ sql("g15_percentiles", " union all ".join(
 sql("g16_lower_median", """select l_returnflag, list_sort(list(l_extendedprice))[(count(*) + 1) // 2] as median from lineitem group by 1""")
 _WORDS = "regexp_extract_all(text, '[\\p{L}\\p{M}\\p{Nd}\\p{Pc}'']+')"
 sql("g17_word_count", f"select w as word, count(*) as n from (select unnest({_WORDS}) as w from documents) group by 1")
-sql("g18_text_metrics", f"""with l as (select unnest(string_split(text, chr(10))) as text from documents),
+sql("g18_text_metrics", f"""with l as (select unnest(string_split(text || chr(10) || chr(10) || '  ', chr(10))) as text from documents),
   w as (select unnest({_WORDS}) as w from l)
   select count(*) as words, cast(sum(length(w)) as bigint) as word_lengths, cast(min(length(w)) as integer) as min_len,
     cast(max(length(w)) as integer) as max_len, (select count(*) from l where not regexp_matches(text, '\\S')) as empty_lines,

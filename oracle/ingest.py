@@ -12,7 +12,7 @@ sql("s5_csv_schema", "select * from supplier")
 sql("s6_pipe_delimited", "select o_orderstatus, count(*) as n, round(sum(o_totalprice), 2) as worth from orders group by 1")
 sql("s7_stacked_csv", """select cast(p_type = 'LARGE' as integer) as is_large, count(*) as n, round(sum(p_retailprice), 2) as worth
   from part where p_type is not null group by 1""")
-sql("s8_text_lines", """with l as (select unnest(string_split(text, chr(10))) as s from documents)
+sql("s8_text_lines", """with l as (select unnest(string_split(text || chr(10) || chr(10) || '  ', chr(10))) as s from documents)
   select count(*) as lines, count(*) filter (not regexp_matches(s, '\\S')) as empty,
     cast(sum(len(regexp_extract_all(s, '[\\p{L}\\p{M}\\p{Nd}\\p{Pc}'']+'))) as bigint) as words from l""")
 sql("s9_table_folders", """select c_mktsegment, count(*) as n from orders join customer on c_custkey = o_custkey

@@ -42,8 +42,8 @@ sql("k14_status_update", """select if(c_custkey in (select o_custkey from orders
 sql("k14_newest_row", """select user_id, event_id, event_type, value from events qualify row_number() over (partition by user_id order by event_id desc) = 1""")
 sql("k16_csv_export", "select c_mktsegment, count(*) as n from customer group by 1")
 sql("k17_word_lines", "select event_type || ': ' || count(*) as value from events group by event_type")
-sql("k18_layouts", """select l as layout, count(*) as n, round(sum(o_totalprice), 2) as worth
-  from orders, (select unnest(['plain', 'partitioned', 'zstd', 'sorted']) as l) where year(o_orderdate) = 1998 group by 1""")
+sql("k18_layouts", """select l as layout, cast(year(o_orderdate) as integer) as year, count(*) as n, round(sum(o_totalprice), 2) as worth, l = 'zstd' as zstd,
+  cast(l = 'partitioned' as bigint) as folders from orders, (select unnest(['plain', 'partitioned', 'zstd', 'sorted']) as l) group by 1, 2""")
 sql("k19_clean_partitions", "select cast(year(o_orderdate) as integer) as year, count(*) as n from orders where o_orderkey % 10 <> 0 group by 1")
 sql("k21_dated_run", """select '1997-05-05 06:00' as run, count(*) as n from orders where cast(o_orderdate as date) = date '1997-05-05' having n > 0""")
 sql("k22_schema_ddl", """select 't' || n_regionkey as "table", '(' || string_agg(lower(n_name) || ' ' || if(n_nationkey % 2 = 0, 'INTEGER', 'STRING'), ','
