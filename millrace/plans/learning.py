@@ -112,11 +112,12 @@ def l8_boosted_regression(t: Tables):
 
 @query
 def l9_forest_regression(t: Tables):
-    rows = features.indexed(t.part, ["p_brand", "p_type"])
-    train, test = by_key(rows, "p_partkey", 80)
-    stages = [features.assembled(["p_brand_idx", "p_type_idx", "p_size"], "features")]
-    model = Pipeline(stages=stages + [models.forest_regressor("p_retailprice")]).fit(train)
-    return regression_report(t, model.transform(test), "p_retailprice")
+    """Price of a line from its quantity and two categories."""
+    lines = t.lineitem.select("l_orderkey", "l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice")
+    train, test = by_key(features.indexed(lines, ["l_returnflag", "l_linestatus"]), "l_orderkey", 80)
+    stages = [features.assembled(["l_returnflag_idx", "l_linestatus_idx", "l_quantity"], "features")]
+    model = Pipeline(stages=stages + [models.forest_regressor("l_extendedprice")]).fit(train)
+    return regression_report(t, model.transform(test), "l_extendedprice")
 
 
 @query

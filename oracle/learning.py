@@ -19,7 +19,7 @@ sql("l7_t13_boosted_stream", """select cast(label % 2 as double) as label, count
   from embeddings group by 1""")
 sql("l8_boosted_regression", f"""select count(*) as n, true as better_than_mean, true as has_error from orders
   where {_HELD % ('o_orderkey', 70)} and o_orderkey in (select l_orderkey from lineitem)""")
-sql("l9_forest_regression", f"select count(*) as n, true as better_than_mean, true as has_error from part where {_HELD % ('p_partkey', 80)}")
+sql("l9_forest_regression", f"select count(*) as n, true as better_than_mean, true as has_error from lineitem where {_HELD % ('l_orderkey', 80)}")
 sql("l10_grid_search", """select 'elasticNetParam=' || n || '; maxIter=' || i || '; regParam=' || r as params, true as no_worse_than_chance
   from (select unnest(['0.0', '0.5', '1.0']) as n), (select unnest(['1', '5', '10']) as i), (select unnest(['0.01', '0.5', '2.0']) as r)""")
 sql("l10_search_in_pipeline", f"""select count(*) as n, true as better_than_mean, true as has_error from orders
