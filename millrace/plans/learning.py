@@ -90,7 +90,7 @@ def l7_t13_boosted_stream(t: Tables):
 
 
 def price_rows(t: Tables) -> DataFrame:
-    o = t.orders.select("o_orderkey", F.month("o_orderdate").alias("month"), F.year("o_orderdate").alias("year"))
+    o = t.orders.select("o_orderkey", F.month("o_orderdate").alias("month"), F.year("o_orderdate").alias("year"), "o_orderpriority")
     lines = t.lineitem.groupBy(col("l_orderkey").alias("k")).agg(F.count("*").alias("lines"), F.sum("l_quantity").alias("units"),
                                                                 F.sum("l_extendedprice").alias("worth"))
     return match(o, lines, o_orderkey="k")
@@ -112,12 +112,11 @@ def l8_boosted_regression(t: Tables):
 
 @query
 def l9_forest_regression(t: Tables):
-    """Price of a line from its quantity and two categories."""
-    lines = t.lineitem.select("l_orderkey", "l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice")
-    train, test = by_key(features.indexed(lines, ["l_returnflag", "l_linestatus"]), "l_orderkey", 80)
-    stages = [features.assembled(["l_returnflag_idx", "l_linestatus_idx", "l_quantity"], "features")]
-    model = Pipeline(stages=stages + [models.forest_regressor("l_extendedprice")]).fit(train)
-    return regression_report(t, model.transform(test), "l_extendedprice")
+    """Worth of an order from its lines, units and priority."""
+    train, test = by_key(features.indexed(price_rows(t), ["o_orderpriority"]), "o_orderkey", 80)
+    stages = [features.assembled(["o_orderpriority_idx", "lines", "units"], "features")]
+    model = Pipeline(stages=stages + [models.forest_regressor("worth")]).fit(train)
+    return regression_report(t, model.transform(test), "worth")
 
 
 @query
