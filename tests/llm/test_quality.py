@@ -2,7 +2,6 @@ import random
 import re
 
 from millrace.llm import quality
-from tests.llm.conftest import by_id
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
