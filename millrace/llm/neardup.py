@@ -34,10 +34,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from millrace.llm.components import roots
-from millrace.llm.text import read, whole
+from millrace.llm.text import read, stored, whole
 from millrace.llm.tokens import mix, pieces, shingles
 from millrace.session import materialized
 
+
 @dataclass(frozen=True)
 class Params:
     shingle: int = 5
@@ -296,7 +297,7 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", params:
     shared = every.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
     members = materialized(every.join(shared, "key").select("key", "id", "n"))
     tried = materialized(members.select("id").distinct())
-    texts = materialized(docs.join(tried, "id", "left_semi").dropDuplicates(["id"]))
+    texts = stored(docs.join(tried, "id", "left_semi").dropDuplicates(["id"]), "near-duplicates")
     small = reps.join(tried, "id", "left_semi").select("id", "bytes")
 
     # first pass: every member of a bucket with the smallest one

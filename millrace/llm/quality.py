@@ -218,8 +218,13 @@ def op8_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 
 def kept(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents that pass the base rule and every learned rule, all columns kept."""
-    names = docs.columns
-    judged = stored(statistics(docs, keep=tuple(names)), "quality")
+    """Documents that pass the base rule and every learned rule, all columns kept.
+
+    Only statistics are stored, not the texts.
+    """
+    key = F.xxhash64("doc_id", "text")
+    judged = stored(statistics(docs.select("doc_id", "text", key.alias("key")), keep=("doc_id", "key")), "quality")
     rules = learn(judged, labels)
-    return judged.where(~base_failed() & rejects(rules).isNull()).select(*[F.col(f"c_{c}").alias(c) for c in names])
+    bad = judged.where(base_failed() | rejects(rules).isNotNull()).select(
+        F.col("c_key").alias("_bad_key"), F.col("c_doc_id").alias("_bad_id")).distinct()
+    return docs.join(bad, (key == F.col("_bad_key")) & docs["doc_id"].eqNullSafe(F.col("_bad_id")), "left_anti")
