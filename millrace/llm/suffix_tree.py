@@ -11,8 +11,8 @@ probability of a word is mixed half and half with the unigram one, whose counts
 come from all training texts.
 
 Words have to meet their counts.  Counting keeps each part of the input as a
-block with the distinct words in it; the counts of those words are joined to
-the block, not to every word, and the block is scored in one stream: its counts
+block with the distinct words in it; the counts of those words go to the
+block, not to every word, and the block is scored in one stream: its counts
 first, then its texts.  Words are 64-bit hashes.
 
 Defined cases: null texts are empty and have the end only; rows that are
@@ -31,11 +31,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
-from millrace.llm.text import read, small_batches
+from millrace.llm.text import read, small_batches, stored
 from millrace.llm.tokens import BLANK, LOWER, Piece, pieces
-from millrace.session import materialized, scratch
 
 END = 65          # no lower-cased text holds an A
 PAD = 32
@@ -187,7 +186,7 @@ class Tree:
 
 def grown(grams: DataFrame, p: Params) -> Tree:
     """The tree of counted symbol runs ``code, n``."""
-    level = materialized(grams.groupBy("code").agg(F.sum("n").alias("n")))
+    level = stored(grams.groupBy("code").agg(F.sum("n").alias("n")), "suffix-tree-runs")
     total = level.agg(F.sum("n")).first()[0] or 0
     tables: list[tuple[np.ndarray, np.ndarray]] = []
     for k in range(p.depth, -1, -1):
@@ -243,16 +242,17 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", parts: i
     """A row per document; texts whose crc32 of the id leaves ``part`` by ``parts`` do not train."""
     spark, p = docs.sparkSession, params
     small_batches(spark)
-    path = scratch(spark, "suffix-tree")
     docs = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
-    counted(docs, parts, part, p).write.parquet(path)
-    raw = spark.read.parquet(path)
-    words = raw.where(f"kind = {_WORD}").select("block", "code", "n")
-    counts = materialized(words.groupBy("code").agg(F.sum("n").alias("c")).where("c > 0"))
-    n_all, n_distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    raw = stored(counted(docs, parts, part, p), "suffix-tree")
+    # a word has a row per block that holds it; one shuffle by word brings them together
+    word = W.partitionBy("code").orderBy("block")
+    totals = raw.where(f"kind = {_WORD}").select(
+        "block", "code", F.sum("n").over(word.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).alias("c"),
+        (F.row_number().over(word) == 1).alias("first"))
+    known = stored(totals.where("c > 0"), "suffix-tree-words")
+    n_all, n_distinct = known.where("first").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     tree = spark.sparkContext.broadcast(grown(raw.where(f"kind = {_GRAM}").select("code", "n"), p))
-    known = words.select("block", "code").join(counts, "code").select(
-        "block", F.lit(_WORD).alias("kind"), "code", "c", F.lit(None).cast("binary").alias("blob"))
+    known = known.select("block", F.lit(_WORD).alias("kind"), "code", "c", F.lit(None).cast("binary").alias("blob"))
     texts = raw.where(f"kind = {_TEXTS}").select("block", "kind", F.lit(0).cast("bigint").alias("code"),
                                                 F.lit(0).cast("bigint").alias("c"), "blob")
     rows = known.unionByName(texts).repartition("block").sortWithinPartitions("block", "kind")
