@@ -2,18 +2,20 @@
 
 Symbols are the bytes of lower-cased words, a blank after each word and one
 end; states are contexts of up to ``depth`` symbols.  A context stays in the
-tree if it is frequent enough (so a depth has at most ``1 / least_share``
-states, which bounds what is broadcast) and if its next-symbol distribution
+tree if it was seen a fixed number of times and its next-symbol distribution
 diverges from that of its longest proper suffix by a likelihood-ratio test, or
-if a longer context that ends in it stays.  Distributions are smoothed with the
-suffix's.  A text is scored with the longest state that ends each position; the
-probability of a word is mixed half and half with the unigram one, whose counts
-come from all training texts.
-
-Words have to meet their counts.  Counting keeps each part of the input as a
-block with the distinct words in it; the counts of those words go to the
-block, not to every word, and the block is scored in one stream: its counts
-first, then its texts.  Words are 64-bit hashes.
+if a longer context that ends in it stays; so the tree grows with the input.
+Distributions are smoothed with the suffix's.  A text is scored with the longest
+state that ends each position; the probability of a word is mixed half and half
+with the unigram one, whose counts come from all training texts.
+
+Words have to meet their counts, and symbols their probabilities.  Counting keeps
+each part of the input as a block with the distinct words and the distinct runs
+of ``depth + 1`` symbols in it.  The tree is a distributed table with the
+probability of each run's last symbol; the counts of a block's words and the
+probabilities of its runs go to the block, not to every place of the text, and
+the block is scored in one stream: its tables first, then its texts.  No part of
+the tree is broadcast.  Words are 64-bit hashes.
 
 Defined cases: null texts are empty and have the end only; rows that are
 repeated get a row each and train as often as they stand there; rows without id
@@ -44,7 +46,7 @@ END_WORD = -1     # code of the end as a token
 @dataclass(frozen=True)
 class Params:
     depth: int = 5
-    least_share: float = 1e-5   # of all positions that a context precedes
+    least: int = 20             # training positions that a context precedes
     divergence: float = 20.0    # log-likelihood ratio by which a context must improve on its suffix
     smoothing: float = 4.0      # observations that a suffix's distribution counts as
     block_words: int = 1_000_000
@@ -77,6 +79,18 @@ def stream(piece: Piece, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return out, starts, bounds
 
 
+def runs(symbols: np.ndarray, starts: np.ndarray, bounds: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Code of the run that ends in each symbol from the ``depth``-th on, and whether that symbol is no pad."""
+    code = np.zeros(len(symbols) - depth, np.int64)
+    for j in range(depth + 1):
+        code = (code << 8) | symbols[j:len(symbols) - depth + j]
+    use = np.ones(len(symbols), bool)
+    row_starts = np.append(0, starts[bounds[1:] - 1][:-1] + 1)
+    for j in range(depth):
+        use[row_starts + j] = False
+    return code, use[depth:]
+
+
 class _Tally:
     """Sum of counts by code; parts are merged when many have come together."""
 
@@ -122,7 +136,7 @@ def _packed(batch: pa.RecordBatch) -> bytes:
 
 
 def counted(docs: DataFrame, parts: int, part: int, p: Params) -> DataFrame:
-    """Blocks of ``id, text`` rows: training counts of the words in each, their texts, and training counts of symbol runs."""
+    """Blocks of ``id, text`` rows: training counts of the words and symbol runs in each, and their texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
         words, grams = _Tally(), _Tally()
@@ -137,22 +151,17 @@ def counted(docs: DataFrame, parts: int, part: int, p: Params) -> DataFrame:
                 words.add(found.view(np.int64), counts)
                 words.add(np.array([END_WORD]), np.array([train.sum()]))
                 symbols, starts, bounds = stream(piece, p.depth)
-                code = np.zeros(len(symbols) - p.depth, np.int64)
-                for j in range(p.depth + 1):
-                    code = (code << 8) | symbols[j:len(symbols) - p.depth + j]
-                # runs that end in a pad are none; those of held out rows do not train
-                row_ends = starts[bounds[1:] - 1]
-                sizes = np.diff(row_ends, prepend=-1)
-                use = np.repeat(train, sizes)
-                row_starts = row_ends - sizes + 1
-                for j in range(p.depth):
-                    use[row_starts + j] = False
-                grams.add(*np.unique(code[use[p.depth:]], return_counts=True))
+                # held out rows do not train, but their runs are looked up
+                code, use = runs(symbols, starts, bounds, p.depth)
+                sizes = np.diff(starts[bounds[1:] - 1], prepend=-1)
+                both, n = np.unique((code[use] << 1) | np.repeat(train, sizes)[p.depth:][use], return_counts=True)
+                grams.add(both >> 1, n * (both & 1))
             if words.size > p.block_words and len((merged := words.merge())[0]) > p.block_words:
                 yield from _rows(_WORD, block, *merged)
-                words, block = _Tally(), block + 1
+                yield from _rows(_GRAM, block, *grams.merge())
+                words, grams, block = _Tally(), _Tally(), block + 1
         yield from _rows(_WORD, block, *words.merge())
-        yield from _rows(_GRAM, 0, *grams.merge())
+        yield from _rows(_GRAM, block, *grams.merge())
 
     return docs.mapInArrow(run, _COUNTED)
 
@@ -175,24 +184,36 @@ class Tree:
             at[k:] = child[at[k:] * wide + column[:-k]]
             at[:k] = none
             np.copyto(state, at, where=at != none)
-        scores = logp[state * wide + column]
-        # pads before a row come after the last token of the row before: its end is one symbol
-        ends = np.append(starts[1:], len(symbols))
-        last = symbols[starts] == END
-        ends[last] = starts[last] + 1
-        total = np.concatenate([[0.0], np.cumsum(scores, dtype=np.float64)])
-        return total[ends] - total[starts]
+        return token_sums(logp[state * wide + column], symbols, starts)
+
+
+def token_sums(scores: np.ndarray, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sum of the symbols' scores of each token of a stream."""
+    # pads before a row come after the last token of the row before: its end is one symbol
+    ends = np.append(starts[1:], len(symbols))
+    last = symbols[starts] == END
+    ends[last] = starts[last] + 1
+    total = np.concatenate([[0.0], np.cumsum(scores, dtype=np.float64)])
+    return total[ends] - total[starts]
+
+
+def _sorted(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes in order with their values, and one that is larger than all."""
+    codes = np.concatenate([x[0] for x in parts] or [np.zeros(0, np.int64)])
+    values = np.concatenate([x[1] for x in parts] or [np.zeros(0, np.int64)])
+    order = np.argsort(codes)
+    return np.append(codes[order], np.iinfo(np.int64).max), np.append(values[order], values.dtype.type(0))
 
 
 def grown(grams: DataFrame, p: Params) -> Tree:
-    """The tree of counted symbol runs ``code, n``."""
+    """The tree of counted symbol runs ``code, n`` in one process: for small corpora, and to compare :func:`predicted` with."""
     level = stored(grams.groupBy("code").agg(F.sum("n").alias("n")), "suffix-tree-runs")
     total = level.agg(F.sum("n")).first()[0] or 0
     tables: list[tuple[np.ndarray, np.ndarray]] = []
     for k in range(p.depth, -1, -1):
         level = level.groupBy(F.col("code").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("code")).agg(F.sum("n").alias("n"))
         frequent = level.groupBy(F.shiftright("code", 8).alias("context")).agg(F.sum("n").alias("of")).where(
-            F.col("of") >= max(p.least_share * total, 1))
+            F.col("of") >= p.least)
         got = level.join(frequent, F.shiftright("code", 8) == F.col("context")).select("code", "n").toArrow()
         order = np.argsort(codes := got["code"].to_numpy())
         tables.append((codes[order], got["n"].to_numpy()[order].astype(np.float64)))
@@ -237,6 +258,42 @@ def grown(grams: DataFrame, p: Params) -> Tree:
     return Tree(p.depth, column, child, np.log10(logp).astype(np.float32))
 
 
+def predicted(grams: DataFrame, p: Params) -> DataFrame:
+    """Rows ``code, q`` of counted runs ``code, n``: log10 probability of a run's last symbol in the longest state before it."""
+    masked = lambda bytes_: F.col("code").bitwiseAND(F.lit((1 << 8 * bytes_) - 1))
+    levels = [stored(grams.groupBy("code").agg(F.sum("n").alias("n")), "suffix-tree-runs")]
+    for k in range(p.depth - 1, -1, -1):
+        levels.append(stored(levels[-1].groupBy(masked(k + 1).alias("code")).agg(F.sum("n").alias("n")), "suffix-tree-runs"))
+    levels.reverse()
+    total = levels[0].agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # from short to long: smoothed probabilities, and whether a context improves on its suffix
+    table = levels[0].select("code", ((F.col("n") + p.smoothing / 256) / (total + p.smoothing)).alias("p"))
+    tables = [table]
+    of_context = W.partitionBy("context")  # at most 256 rows
+    for k in range(1, p.depth + 1):
+        rows = levels[k].withColumn("suffix", masked(k)).join(table.toDF("suffix", "below"), "suffix")
+        rows = rows.withColumn("context", F.shiftright("code", 8)).withColumn("of", F.sum("n").over(of_context))
+        rows = rows.withColumn("p", (F.col("n") + p.smoothing * F.col("below")) / (F.col("of") + p.smoothing))
+        gain = F.sum(F.col("n") * F.log(F.col("p") / F.col("below"))).over(of_context)
+        whole = stored(rows.withColumn("good", (F.col("of") >= p.least) & (gain >= p.divergence)).select("code", "context", "p", "good"), "suffix-tree-states")
+        tables.append(whole)
+        table = whole.select("code", "p")
+    # from long to short: a context stays with a longer one that ends in it
+    stay: list[DataFrame | None] = [None] * (p.depth + 1)
+    for k in range(p.depth, 0, -1):
+        own = tables[k].where("good").select("context")
+        if k < p.depth:
+            own = own.unionByName(stay[k + 1].select(F.col("context").bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("context")))
+        stay[k] = stored(own.distinct(), "suffix-tree-kept")
+    # from short to long: the probability in the longest state
+    found = tables[0].select("code", F.col("p").alias("q"))
+    for k in range(1, p.depth + 1):
+        rows = tables[k].withColumn("suffix", masked(k)).join(found.toDF("suffix", "shorter"), "suffix")
+        rows = rows.join(stay[k].withColumn("stays", F.lit(True)), "context", "left")
+        found = rows.select("code", F.when(F.col("stays"), F.col("p")).otherwise(F.col("shorter")).alias("q"))
+    return found.select("code", F.log10("q").cast("float").alias("q"))
+
+
 def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", parts: int = 10, part: int = 0,
            params: Params = Params()) -> DataFrame:
     """A row per document; texts whose crc32 of the id leaves ``part`` by ``parts`` do not train."""
@@ -251,34 +308,37 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", parts: i
         (F.row_number().over(word) == 1).alias("first"))
     known = stored(totals.where("c > 0"), "suffix-tree-words")
     n_all, n_distinct = known.where("first").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    tree = spark.sparkContext.broadcast(grown(raw.where(f"kind = {_GRAM}").select("code", "n"), p))
-    known = known.select("block", F.lit(_WORD).alias("kind"), "code", "c", F.lit(None).cast("binary").alias("blob"))
-    texts = raw.where(f"kind = {_TEXTS}").select("block", "kind", F.lit(0).cast("bigint").alias("code"),
-                                                F.lit(0).cast("bigint").alias("c"), "blob")
-    rows = known.unionByName(texts).repartition("block").sortWithinPartitions("block", "kind")
+    grams = raw.where(f"kind = {_GRAM}").select("block", "code", "n")
+    none = lambda kind: F.lit(None).cast(kind)
+    known = known.select("block", F.lit(_WORD).alias("kind"), "code", "c", none("float").alias("q"), none("binary").alias("blob"))
+    chances = grams.join(predicted(grams, p), "code").select(
+        "block", F.lit(_GRAM).alias("kind"), "code", none("bigint").alias("c"), "q", none("binary").alias("blob"))
+    texts = raw.where(f"kind = {_TEXTS}").select("block", "kind", none("bigint").alias("code"), none("bigint").alias("c"),
+                                                none("float").alias("q"), "blob")
+    rows = known.unionByName(chances).unionByName(texts).repartition("block").sortWithinPartitions("block", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, parts_, codes, values = None, [], None, None
+        at, tables, maps = None, ([], []), None
         for batch in batches:
-            blocks, kinds, code, c = (batch.column(i).to_numpy() for i in range(4))
+            blocks, kinds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             cuts = np.flatnonzero(np.diff(blocks) | np.diff(kinds)) + 1
             for lo, hi in zip([0, *cuts], [*cuts, len(blocks)]):
                 if lo == hi:
                     continue
                 if blocks[lo] != at:
-                    at, parts_, codes = blocks[lo], [], None
-                if kinds[lo] == _WORD:
-                    parts_.append((code[lo:hi], c[lo:hi]))
+                    at, tables, maps = blocks[lo], ([], []), None
+                if kinds[lo] != _TEXTS:
+                    value = batch.column(3 if kinds[lo] == _WORD else 4).slice(lo, hi - lo).to_numpy()
+                    tables[kinds[lo]].append((batch.column(2).slice(lo, hi - lo).to_numpy(), value))
                     continue
-                if codes is None:
-                    codes, values = (np.concatenate([x[i] for x in parts_] or [np.zeros(0, np.int64)]) for i in range(2))
-                    order = np.argsort(codes)
-                    codes, values = np.append(codes[order], np.iinfo(np.int64).max), np.append(values[order], 0)
+                if maps is None:
+                    maps = [_sorted(x) for x in tables]
+                    tables = ([], [])
                 for i in range(lo, hi):
-                    for texts_ in pa.ipc.open_stream(batch.column(4)[i].as_py()):
-                        yield from scored(texts_, codes, values)
+                    for texts_ in pa.ipc.open_stream(batch.column(5)[i].as_py()):
+                        yield from scored(texts_, *maps[0], *maps[1])
 
-    def scored(texts_: pa.RecordBatch, codes: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def scored(texts_: pa.RecordBatch, codes: np.ndarray, values: np.ndarray, ends_in: np.ndarray, chance: np.ndarray) -> Iterator[pa.RecordBatch]:
         ids, rest = texts_.column(0), math.log10(n_all + 0.1 * (n_distinct + 1))
         held = held_out(ids.to_pylist(), parts, part)
         for piece in pieces(texts_.column(1)):
@@ -290,7 +350,11 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", parts: i
             place = np.searchsorted(codes, word)
             c = np.where(codes[place] == word, values[place], 0)
             base = np.log10(c + 0.1) - rest
-            mixed = np.log10(0.5 * 10.0 ** base + 0.5 * 10.0 ** tree.value.word_logp(symbols, starts))
+            run_codes, use = runs(symbols, starts, bounds, p.depth)
+            places = np.zeros(len(symbols), np.float64)
+            distinct, back = np.unique(run_codes[use], return_inverse=True)
+            places[p.depth:][use] = chance[np.searchsorted(ends_in, distinct)][back]
+            mixed = np.log10(0.5 * 10.0 ** base + 0.5 * 10.0 ** token_sums(places, symbols, starts))
             n = np.diff(bounds)
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(piece.first, len(piece)), pa.array(held[piece.first:piece.first + len(piece)]), pa.array(n),

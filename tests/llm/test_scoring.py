@@ -122,3 +122,23 @@ def test_language_on_held_out_rows(docs, wide):
 def test_language_without_rows_to_learn_from(docs):
     assert [r.lang_pred for r in language.predictions(docs([(1, "abc", None, "s")])).collect()] == ["und"]
     assert language.predictions(docs([])).collect() == []
+
+
+def test_tree_grows_with_the_input(spark, docs):
+    """A context keeps its state however much other text there is, and the distributed tree equals the one of one process."""
+    def runs_of(text):
+        padded = b"     " + text.encode()
+        return collections.Counter(int.from_bytes(padded[i - 5:i + 1], "big") for i in range(5, len(padded)))
+
+    p = suffix_tree.Params()
+    rng = random.Random(3)
+    codes = runs_of("qxqxz " * 60 + "".join(rng.choice("abcdefgh ") for _ in range(3000)))
+    codes[int.from_bytes(b"aaaaaa", "big")] += 50_000_000  # the rare contexts are less than 1e-5 of all positions
+    codes[int.from_bytes(b"qxqxqy", "big")] += 0
+    table = spark.createDataFrame(list(codes.items()), "code bigint, n bigint")
+    got = {r.code: r.q for r in suffix_tree.predicted(table, p).collect()}
+    assert got.keys() == codes.keys() and 10 ** got[int.from_bytes(b"qxqxz ", "big")] > 0.8
+    tree = suffix_tree.grown(table.where("n > 0"), p)
+    for code, q in got.items():
+        symbols = np.frombuffer(code.to_bytes(6, "big"), np.uint8)
+        assert math.isclose(tree.word_logp(symbols, np.array([5]))[0], q, abs_tol=1e-3), symbols.tobytes()
