@@ -213,13 +213,12 @@ def s15_table_format(t: Tables):
 
 @query
 def s16_job_config(t: Tables):
-    """Sheet of a header and rows, some of them shorter than the header; missing fields are empty."""
+    """Sheet of many files under one header, some rows shorter than the header; missing fields are empty."""
     path = scratch(t.spark, "sheet")
     short = F.when(col("s_suppkey") % 3 == 0, F.concat_ws(",", "s_suppkey", "s_name")).otherwise(
         F.concat_ws(",", "s_suppkey", "s_name", F.concat(F.lit("nation "), col("s_nationkey")), F.lit("yes")))
-    t.spark.range(1).select(F.lit("key,name,nation,active").alias("value")).unionByName(
-        t.supplier.select(short.alias("value"))).coalesce(1).write.text(path)
-    return files.job_config(t.spark, path)
+    t.supplier.select(short.alias("value")).write.text(path)
+    return files.job_config(t.spark, path, ["key", "name", "nation", "active"])
 
 
 @query

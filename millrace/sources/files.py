@@ -76,9 +76,9 @@ def table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)
 
 
-def job_config(spark: SparkSession, path: str) -> DataFrame:
-    """Configuration sheet: header row, and rows that may stop short of it."""
-    df = spark.read.csv(path, header=True)
+def job_config(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
+    """Configuration sheet: header row, and rows that may stop short of it; with ``names`` the files have no header row."""
+    df = spark.read.csv(path, schema=", ".join(f"`{x}` string" for x in names)) if names else spark.read.csv(path, header=True)
     return df.select(*[F.coalesce(c, F.lit("")).alias(c) for c in df.columns])
 
 

@@ -165,3 +165,10 @@ def test_job_without_duration_has_no_slots(spark):
     jobs = spark.createDataFrame([("j", at, at, 5)], "job_id string, start_time timestamp, end_time timestamp, total_slot_ms bigint")
     r = workload.job_facts(runs, jobs).first()
     assert (r["job_duration"], r["avg_slots"]) == (0, None)
+
+
+def test_job_sheet_of_many_files_has_its_header_given_once(spark, tmp_path):
+    path = str(tmp_path / "sheets")
+    spark.createDataFrame([("p,d",), ("q,e,t",)], "value string").repartition(2).write.text(path)
+    rows = files.job_config(spark, path, ["a", "b", "c"]).collect()
+    assert sorted(tuple(r) for r in rows) == [("p", "d", ""), ("q", "e", "t")]
