@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from millrace.llm import (chat, decontaminate, language, mixing, neardup, private, quality, suffix_tree, toxicity, wrappers)
+from millrace.llm import (audit, chat, decontaminate, language, mixing, neardup, private, quality, suffix_tree, toxicity, wrappers)
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_quality_rules": quality.op8_quality_rules,
     "op9_mix_sources": mixing.op9_mix_sources,
     "op10_personal_data": private.op10_personal_data,
+    "op11_filter_audit": audit.op11_filter_audit,
     "pipeline": corpus_pipeline.run,
 }
 SQL = {
@@ -23,4 +24,5 @@ SQL = {
     "op2_near_duplicates": neardup.SQL_op2,
     "op6_decontaminate": decontaminate.SQL_op6,
     "op9_mix_sources": mixing.SQL_op9,
+    "op11_filter_audit": audit.SQL_op11,
 }
