@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from millrace.llm import (audit, chat, decontaminate, language, mixing, neardup, private, quality, suffix_tree, toxicity, wrappers)
+from millrace.llm import (audit, chat, decontaminate, language, mixing, neardup, pieces, private, quality,
+                          suffix_tree, toxicity, trie, wrappers)
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
@@ -17,6 +18,8 @@ QUERIES = {
     "op9_mix_sources": mixing.op9_mix_sources,
     "op10_personal_data": private.op10_personal_data,
     "op11_filter_audit": audit.op11_filter_audit,
+    "op12_piece_ids": pieces.op12_piece_ids,
+    "op13_prefix_trie": trie.op13_prefix_trie,
     "pipeline": corpus_pipeline.run,
 }
 SQL = {
@@ -25,4 +28,5 @@ SQL = {
     "op6_decontaminate": decontaminate.SQL_op6,
     "op9_mix_sources": mixing.SQL_op9,
     "op11_filter_audit": audit.SQL_op11,
+    "op13_prefix_trie": trie.SQL_op13,
 }
