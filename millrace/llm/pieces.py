@@ -2,9 +2,13 @@
 
 The library puts a marker before a text and a marker in the place of every space.  Where no piece of the model holds a
 marker after another character, no merge crosses the place before a run of markers: a text is cut there, and its
-chunks are encoded on their own.  Tasks cut texts into blocks; a block keeps its distinct chunks and, per document, the
-numbers of the chunks by position.  Each distinct chunk of the whole table is encoded once, its ids go back to the blocks
-that hold it, and in a block the ids are put together by position and decoded as a whole.
+chunks are encoded on their own.  Tasks cut texts into blocks; a block numbers its distinct chunks and keeps, per document,
+the numbers by position.  Chunks that a block has several times go, dealt by chunk, to one table, where each is encoded once
+for all blocks; the ids return to the blocks that hold it.  A chunk that stands once in its block is encoded in place, which
+moves less than sending it.  In a block the ids are put together by position and decoded as a whole.
+
+A block is named by its task and a checksum of its chunks, so if a task is run again on rows in another order, ids and
+numbers that don't belong together fail and are not mixed.  Rows of a stored table come in one order.
 
 For a model that is not like this (pieces across markers, a normalizer that changes more than spaces) whole
 texts are encoded by the library; the result is the same by definition, the table of chunks is not used.
@@ -16,6 +20,7 @@ their own; U+2581 in a text is a marker, as in the library; no documents give no
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from sentencepiece import sentencepiece_model_pb2
 
-from millrace.llm.text import read, small_batches, stored, whole
+from millrace.llm.text import read, small_batches, whole
 
 MARK = "▁"
 #: bytes of text in a block, but for a longer document, which is a block of its own
@@ -67,51 +72,99 @@ class _Numbers(dict):
         return n
 
 
-_CUT = "block bigint, code int, chunk string, doc_id bigint, codes binary"
+_CUT = "block string, code int, chunk string, texts binary, known binary"
+_PAIRS = "block string, code int, chunk string"
 
 
-def cut(docs: DataFrame, size: int = BLOCK) -> DataFrame:
-    """Blocks of documents ``doc_id, text``: rows with a chunk of the block, and rows with a document's chunk numbers."""
-    names = [c.split()[0] for c in _CUT.split(", ")]
-    types = [pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.binary()]
+def _packed(columns: dict[str, pa.Array]) -> bytes:
+    sink = pa.BufferOutputStream()
+    batch = pa.RecordBatch.from_pydict(columns)
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(blob: bytes) -> pa.Table:
+    return pa.ipc.open_stream(blob).read_all()
+
+
+def _flat(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of numbered chunks in one array, and their sizes."""
+    return np.concatenate([np.zeros(0, "<u4"), *ids]).astype("<u4"), np.array([len(i) for i in ids], np.int64)
+
 
-    def batch(block, code, chunk, doc_id, codes) -> pa.RecordBatch:
-        n = max(len(code or ()), len(doc_id or ()))
-        columns = ([block] * n, code, chunk, doc_id, codes)
-        return pa.RecordBatch.from_arrays([pa.nulls(n, t) if c is None else pa.array(c, t) for c, t in zip(columns, types)], names)
+def _chunk_ids(sp, found: list[str]) -> list[np.ndarray]:
+    """Ids of chunks with their marker: an empty text has no marker, a chunk without more than its marker has one."""
+    alone = [sp.piece_to_id(MARK)]
+    return [np.array(i or alone, "<u4") for i in sp.encode(found, num_threads=1)]
+
+
+def cut(docs: DataFrame, model: bytes, size: int = BLOCK) -> DataFrame:
+    """Blocks of documents ``doc_id, text``: a row with the documents, and a row per chunk that the block has again.
+
+    The numbers of these chunks come first; ``known`` has the ids of the others in order.
+    """
+    names = [c.split()[0] for c in _CUT.split(", ")]
+    types = [pa.string(), pa.int32(), pa.string(), pa.binary(), pa.binary()]
+
+    def closed(name: str, numbers: _Numbers, ids: list, codes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        found, flat = np.array(list(numbers), object), np.concatenate(codes)
+        times = np.bincount(flat, minlength=len(found))
+        order = np.argsort(-times, kind="stable")
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        again = int((times > 1).sum())
+        once, sizes = _flat(_chunk_ids(_processor(model), found[order[again:]].tolist()))
+        number, ends = place[flat], np.cumsum([0, *map(len, codes)])
+        planes = {f"b{i}": pa.LargeListArray.from_arrays(ends, pa.array((number >> 8 * i & 255).astype(np.uint8))) for i in range(4)}
+        chunk = found[order[:again]].tolist()
+        block = f"{name}-{zlib.crc32(chr(0).join(chunk).encode()):08x}"
+        row = [[block], [None], [None], [_packed({"doc_id": pa.array(ids, pa.int64()), **planes})],
+               [_packed({"ids": pa.array([once], pa.large_list(pa.uint32())), "sizes": pa.array([sizes], pa.large_list(pa.int64()))})]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, types)], names)
+        if again:
+            rows = [[block] * again, range(again), chunk, None, None]
+            yield pa.RecordBatch.from_arrays([pa.nulls(again, t) if c is None else pa.array(c, t) for c, t in zip(rows, types)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, numbers, held = TaskContext.get().partitionId() << 32, _Numbers(), 0
+        task, n = TaskContext.get().partitionId(), 0
+        numbers, ids, codes, held = _Numbers(), [], [], 0
         for rows in batches:
-            ids, codes = [], []
             for doc_id, text in zip(*(c.to_pylist() for c in rows.columns)):
-                codes.append(np.array(list(map(numbers.__getitem__, chunks(text))), np.int32).tobytes())
+                codes.append(np.array(list(map(numbers.__getitem__, chunks(text))), np.int64))
                 ids.append(doc_id)
                 held += len(text)
                 if held >= size:
-                    yield batch(block, None, None, ids, codes)
-                    yield batch(block, range(len(numbers)), list(numbers), None, None)
-                    block, numbers, held, ids, codes = block + 1, _Numbers(), 0, [], []
-            if ids:
-                yield batch(block, None, None, ids, codes)
-        if numbers:
-            yield batch(block, range(len(numbers)), list(numbers), None, None)
+                    yield from closed(f"{task}-{n}", numbers, ids, codes)
+                    n, numbers, ids, codes, held = n + 1, _Numbers(), [], [], 0
+        if ids:
+            yield from closed(f"{task}-{n}", numbers, ids, codes)
 
     return docs.mapInArrow(run, _CUT)
 
 
-def segmented(distinct: DataFrame, model: bytes) -> DataFrame:
-    """``chunk, ids``: the ids of each chunk with its marker."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sp = _processor(model)
-        alone = sp.piece_to_id(MARK)
+def segmented(blocks: DataFrame, model: bytes) -> DataFrame:
+    """``of, code, ids``: the ids of the chunks that blocks sent, each distinct chunk encoded once."""
+    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            found = sp.encode(rows.column(0).to_pylist(), num_threads=1)
-            # an empty text has no marker, a chunk without more than its marker has
-            ids = [np.array(i or [alone], "<u4").tobytes() for i in found]
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(ids, pa.binary())], ["chunk", "ids"])
+            yield rows.filter(rows.column("chunk").is_valid()).select(["block", "code", "chunk"])
 
-    return distinct.mapInArrow(run, "chunk string, ids binary")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sp, last, known = _processor(model), None, None
+        for rows in batches:  # in order of chunk
+            found = rows.column(2).to_pylist()
+            new = [c for c, before in zip(found, [last, *found]) if c != before]
+            encoded_ = iter([i.tobytes() for i in _chunk_ids(sp, new)])
+            ids = []
+            for c in found:
+                if c != last:
+                    last, known = c, next(encoded_)
+                ids.append(known)
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(ids, pa.binary())], ["of", "code", "ids"])
+
+    # the filter is in Python so that both uses of the blocks read one shuffle
+    pairs = blocks.mapInArrow(sent, _PAIRS).repartition("chunk").sortWithinPartitions("chunk")
+    return pairs.mapInArrow(run, "of string, code int, ids binary")
 
 
 def _rows(sp, doc_ids: list, ids: list[np.ndarray]) -> pa.Table:
@@ -120,39 +173,45 @@ def _rows(sp, doc_ids: list, ids: list[np.ndarray]) -> pa.Table:
                     ["doc_id", "ids", "decoded"])
 
 
-def put_together(table: DataFrame, known: DataFrame, model: bytes) -> DataFrame:
+def put_together(blocks: DataFrame, known: DataFrame, model: bytes) -> DataFrame:
     """Documents of :func:`cut` with the ids of their chunks in order, between the begin and end id."""
-    def run(docs: pa.Table, own: pa.Table) -> pa.Table:
+    def run(block: pa.Table, sent: pa.Table) -> pa.Table:
         sp = _processor(model)
-        ids_of: list = [b""] * own.num_rows
-        for code, ids in zip(own["code"].to_pylist(), own["ids"].to_pylist()):
-            ids_of[code] = ids
-        sizes = np.array([len(i) // 4 for i in ids_of], np.int64)
-        flat, starts = np.frombuffer(b"".join(ids_of), "<u4"), np.cumsum(sizes) - sizes
+        here = block.filter(block["texts"].is_valid())
+        if here.num_rows != 1 or block.num_rows - 1 != sent.num_rows:
+            raise ValueError("a block and the ids of its chunks are from different runs of a task")
+        docs, once = _unpacked(here["texts"][0].as_py()), _unpacked(here["known"][0].as_py())
+        again: list = [b""] * sent.num_rows
+        for code, ids in zip(sent["code"].to_pylist(), sent["ids"].to_pylist()):
+            again[code] = ids
+        flat = np.concatenate([np.frombuffer(b"".join(again), "<u4"), once["ids"][0].values.to_numpy()])
+        sizes = np.concatenate([np.array([len(i) // 4 for i in again], np.int64), once["sizes"][0].values.to_numpy()])
+        starts = np.cumsum(sizes) - sizes
+        planes = [docs[f"b{i}"].combine_chunks() for i in range(4)]
+        ends = planes[0].offsets.to_numpy()
+        number = sum(p.values.to_numpy().astype(np.int64) << 8 * i for i, p in enumerate(planes))
         out = []
-        for codes in docs["codes"].to_pylist():
-            at = np.frombuffer(codes, np.int32)
+        for lo, hi in zip(ends, ends[1:]):
+            at = number[lo:hi]
             n = sizes[at]
-            ends = np.cumsum(n)
+            upto = np.cumsum(n)
             ids = np.empty(2 + n.sum(), np.int64)
             ids[0], ids[-1] = sp.bos_id(), sp.eos_id()
-            ids[1:-1] = flat[np.arange(n.sum()) + np.repeat(starts[at] - (ends - n), n)]
+            ids[1:-1] = flat[np.arange(n.sum()) + np.repeat(starts[at] - (upto - n), n)]
             out.append(ids)
         return _rows(sp, docs["doc_id"].to_pylist(), out)
 
-    texts = table.where("chunk is null").select("block", "doc_id", "codes")
-    pairs = table.where("chunk is not null").select("block", "code", "chunk").join(known, "chunk").select("block", "code", "ids")
-    return texts.groupBy("block").cogroup(pairs.toDF("of", "code", "ids").groupBy("of")).applyInArrow(run, OUT)
+    return blocks.groupBy("block").cogroup(known.groupBy("of")).applyInArrow(run, OUT)
 
 
 def encoded(docs: DataFrame, model: bytes, block: int = BLOCK) -> DataFrame:
-    """``doc_id, ids, decoded`` of documents: ids with begin and end as little-endian unsigned 32-bit integers, and their text."""
+    """``doc_id, ids, decoded`` of the documents of a stored table: ids, with begin and end, as little-endian unsigned 32-bit
+    integers, and the text they decode to."""
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole(F.col("text")).alias("text"))
     if separable(model):
-        table = stored(cut(docs, block), "chunk-numbers")
-        distinct = table.where("chunk is not null").select("chunk").distinct()
-        return put_together(table, segmented(distinct, model), model)
+        blocks = cut(docs, model, block).repartition("block")
+        return put_together(blocks, segmented(blocks, model), model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp = _processor(model)
