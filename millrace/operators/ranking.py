@@ -7,6 +7,7 @@ on its own and shifted by the size of the ranges before it.
 
 from __future__ import annotations
 
+import decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -22,13 +23,23 @@ def cut_points(df: DataFrame, value: str, ranges: int) -> list:
     return sorted(set(row["cuts"] or []))
 
 
-def slot_of(value: Column, cuts: list, first: int = 0) -> Column:
-    """Number of cut points below a value, by halving the list of cut points."""
+def slot_of(value: Column, cuts: list) -> Column:
+    """Number of cut points below a value, by halving one array of them."""
     if not cuts:
-        return F.lit(first)
-    middle = len(cuts) // 2
-    return F.when(value <= F.lit(cuts[middle]), slot_of(value, cuts[:middle], first)).otherwise(
-        slot_of(value, cuts[middle + 1:], first + middle + 1))
+        return F.lit(0)
+    if isinstance(cuts[0], (int, float, decimal.Decimal)) and not isinstance(cuts[0], bool):
+        # one literal, however many cut points
+        kind = "double" if isinstance(cuts[0], float) else "bigint" if isinstance(cuts[0], int) else "decimal(38,18)"
+        points = F.split(F.lit(",".join(map(str, cuts))), ",").cast(f"array<{kind}>")
+    else:
+        points = F.array(*map(F.lit, cuts))
+    steps = [1 << i for i in range(len(cuts).bit_length() - 1, -1, -1)]
+
+    def step(acc: Column, s: Column) -> Column:
+        below = (acc + s <= len(cuts)) & (F.try_element_at(points, acc + s) < value)
+        return acc + F.when(below, s).otherwise(0)
+
+    return F.when(value.isNotNull(), F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step))
 
 
 def value_counts(df: DataFrame, value: str, keys: list[str]) -> DataFrame:

@@ -6,10 +6,12 @@ from pyspark.sql import Window as W, functions as F
 
 from millrace.functions import text
 from millrace.functions.money import half_up, mean, ratio, total
+from millrace.operators import sketches
 from millrace.operators.nesting import nested
 from millrace.operators.ranking import first_ranks, percentiles, with_rank
 from millrace.operators.relational import leading, match, renamed, union_all, with_group
 from millrace.registry import Tables, query
+from millrace.session import scratch
 
 col = F.col
 
@@ -371,6 +373,16 @@ def g15_percentiles(t: Tables):
     return out.select("share", F.round("value", 4).alias("value"))
 
 
+@query
+def g15_sketched_percentiles(t: Tables):
+    """The same percentiles from one stored sketch per file: whether their ranks are within the bound of the sketch, and the rows it has seen."""
+    path, shares = scratch(t.spark, "sketches"), [0.5, 0.99, 0.999, 0.9999]
+    sketches.store_sketches(t.lineitem, col("l_extendedprice"), path)
+    stored = t.spark.read.parquet(path)
+    gaps = sketches.rank_gap(t.lineitem, col("l_extendedprice"), sketches.sketched_percentiles(stored, shares))
+    return gaps.select("share", (col("gap") <= sketches.rank_error()).alias("within"), stored.agg(F.sum("n")).scalar().alias("rows"))
+
+
 @query
 def g16_lower_median(t: Tables):
     return percentiles(t.lineitem, "l_extendedprice", [0.5], ["l_returnflag"], interpolate=False).select(

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DataType
 
+from millrace.operators.lineage import lineage, of_table
 from millrace.registry import Tables, query
 
 # value shown instead of a protected one, by type (fixed values)
@@ -50,27 +51,18 @@ def may_hold_masked(result: DataFrame, table: DataFrame, name: str, policies: li
     return any((f.name, f.dataType) in protected for f in result.schema)
 
 
-def scanned_columns(df: DataFrame) -> set[tuple[str, str]]:
-    """Source and name of the columns that the scans of a query produce, after Spark pruned the others.
-
-    The source of a file scan is its paths; other scans have none.
-    """
-    leaves = df._jdf.queryExecution().sparkPlan().collectLeaves()
-    out = set()
-    for i in range(leaves.size()):
-        leaf = leaves.apply(i)
-        columns = leaf.output()
-        is_files = leaf.getClass().getSimpleName() == "FileSourceScanExec"
-        source = leaf.relation().location().rootPaths().mkString(",") if is_files else ""
-        out |= {(source, columns.apply(j).name()) for j in range(columns.size())}
-    return out
+def mask_use(on_raw: DataFrame, table: DataFrame, name: str, policies: list[Policy], user: str) -> tuple[list[str], set[str]]:
+    """Of a query built on the unmasked table: output columns with a column in them that is hidden from the user, and hidden columns it uses in conditions."""
+    found = lineage(on_raw)
+    sources, wanted = of_table(found, table), {p.column for p in hidden(policies, name, user)}
+    mine = {(i, c) for i in sources for c in wanted}
+    return [out for out, read in found.shown.items() if read & mine], {c for _, c in found.used & mine}
 
 
 def masking_applied(on_raw: DataFrame, table: DataFrame, name: str, policies: list[Policy], user: str) -> bool:
-    """Whether the query, built on the unmasked table, reads a column of it that is hidden from the user."""
-    sources = {source for source, _ in scanned_columns(table)}
-    wanted = {(source, p.column) for source in sources for p in hidden(policies, name, user)}
-    return bool(scanned_columns(on_raw) & wanted)
+    """Whether masking changes the query: it shows a hidden column or picks rows by one."""
+    shown, used = mask_use(on_raw, table, name, policies, user)
+    return bool(shown or used)
 
 
 def role_members(bindings: DataFrame) -> DataFrame:
@@ -107,6 +99,32 @@ def m2_m3_masking_flags(t: Tables):
     return t.customer.agg(F.count("*").alias("n"), *[f.alias(n) for f, n in zip(flags, names)])
 
 
+@query
+def m3_column_lineage(t: Tables):
+    """Which results of some queries on customers show a hidden column, and which only pick rows by one."""
+    c = t.customer
+    c.createOrReplaceTempView("lineage_customer")
+    region = t.nation.select("n_nationkey", "n_name")
+    queries = {
+        "renamed": c.select(F.col("c_acctbal").alias("a"), "c_custkey").withColumn("b", F.col("a") * 2).select("b", "c_custkey"),
+        "dropped": c.withColumn("b", F.col("c_acctbal") * 2).drop("b", "c_acctbal", "c_name"),
+        "filtered": c.where("c_acctbal > 0").select("c_custkey", "c_mktsegment"),
+        "grouped": c.groupBy("c_mktsegment").agg(F.max("c_acctbal").alias("top"), F.count("*").alias("n")),
+        "joined": c.join(region, F.col("c_nationkey") == F.col("n_nationkey")).select("n_name", "c_custkey"),
+        "united": c.select(F.col("c_mktsegment").alias("x")).union(c.select("c_name")),
+        "viewed": t.spark.sql("select upper(c_name) as who, c_custkey from lineage_customer"),
+        "ranked": c.select("c_custkey", F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_acctbal")).alias("r")),
+        "subquery": t.spark.sql("select c_custkey from lineage_customer where c_custkey > (select max(c_acctbal) from lineage_customer)"),
+        "other_table": t.supplier.select(F.col("s_acctbal").alias("c_acctbal"), F.col("s_name").alias("c_name")),
+    }
+    rows = []
+    for name, df in queries.items():
+        shown, used = mask_use(df, c, "customer", POLICIES, "analyst")
+        rows.append((name, ",".join(sorted(shown)), ",".join(sorted(used))))
+    flags = t.spark.createDataFrame(rows, "query string, shown string, used string")
+    return flags.withColumn("customers", c.agg(F.count("*")).scalar())
+
+
 @query
 def m4_role_members(t: Tables):
     """Market segments as roles and customers as members."""

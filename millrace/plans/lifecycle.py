@@ -10,7 +10,7 @@ from millrace.functions.money import total
 from millrace.operators.relational import union_all
 from millrace.registry import Tables, query
 from millrace.session import scratch
-from millrace.sinks import archive, folders, snapshots, writes
+from millrace.sinks import archive, clustered, folders, snapshots, writes
 
 col = F.col
 TODAY = dt.date(2001, 8, 31)
@@ -208,6 +208,23 @@ def k18_layouts(t: Tables):
     return union_all(*out)
 
 
+@query
+def k18_clustered(t: Tables):
+    """Lines in as many files as they come and along a curve over ship date and part: files that a sixteenth of either column may need."""
+    root, files = scratch(t.spark, "clustered"), 64
+    lines = t.lineitem.select("l_orderkey", "l_shipdate", "l_partkey", "l_extendedprice")
+    lines.repartition(files).write.parquet(f"{root}/plain")
+    clustered.write_clustered(lines, ["l_shipdate", "l_partkey"], files, f"{root}/clustered")
+    out = []
+    for column in ("l_shipdate", "l_partkey"):
+        low, high = lines.agg(F.percentile_approx(column, [0.5, 0.5625], 1000).alias("p")).first()["p"]
+        plain, curve = [clustered.files_that_may_hold(t.spark.read.parquet(f"{root}/{name}"), column, low, high).first() for name in ("plain", "clustered")]
+        held = [t.spark.read.parquet(f"{root}/{name}").where(F.col(column).between(low, high)) for name in ("plain", "clustered")]
+        out.append(held[1].agg(F.lit(column).alias("column_name"), F.lit(plain["files"]).cast("bigint").alias("files"), F.lit(4 * curve["read"] <= plain["read"]).alias("quarter"),
+                               (F.count("*") == held[0].agg(F.count("*")).scalar()).alias("same_rows")))
+    return union_all(*out)
+
+
 @query
 def k19_clean_partitions(t: Tables):
     """Orders without a month are dropped; the table has statistics."""

@@ -41,9 +41,10 @@ def collected(stream: DataFrame, t: Tables, name: str) -> DataFrame:
     return t.spark.read.parquet(path + "/rows")
 
 
-def text_messages(t: Tables) -> DataFrame:
+def text_messages(t: Tables, events: DataFrame | None = None) -> DataFrame:
     line = F.concat_ws(" ", col("event_type"), F.get_json_object("props", "$.k"))
-    return messages.decoded(event_stream(t).select(line.cast("binary").alias("data"), "publish_time"))
+    events = event_stream(t) if events is None else events
+    return messages.decoded(events.select(line.cast("binary").alias("data"), "publish_time"))
 
 
 @query
@@ -62,11 +63,12 @@ def t1_window_words_batch(t: Tables):
     return out.select("word", "count", col("w.start").alias("window_start"))
 
 
-def payload_messages(t: Tables) -> DataFrame:
+def payload_messages(t: Tables, events: DataFrame | None = None) -> DataFrame:
     """JSON events; every fiftieth is cut off in the middle."""
     body = F.to_json(F.struct(col("user_id").cast("string").alias("user_id"), col("event_type").alias("event_name"), F.lit("north").alias("region")))
     line = F.when(col("event_id") % 50 == 0, F.substring(body, 1, 12)).otherwise(body)
-    return messages.decoded(event_stream(t).select(line.cast("binary").alias("data"), "publish_time"))
+    events = event_stream(t) if events is None else events
+    return messages.decoded(events.select(line.cast("binary").alias("data"), "publish_time"))
 
 
 @query
@@ -81,16 +83,22 @@ def run_enrichment(t: Tables) -> str:
 
 
 def enrichment(t: Tables) -> str:
-    countries = t.customer.where("c_custkey % 3 <> 0").select(col("c_custkey").cast("string").alias("user_id"), F.concat(F.lit("country "), col("c_nationkey")).alias("country"))
-    history = t.events.where("event_type = 'purchase'").select(
-        col("user_id").cast("string").alias("user_id"), F.date_format("ts", "yyyy-MM-dd").alias("event_date"),
-        col("event_type").alias("event_name"), F.concat(F.lit("device "), col("event_id") % 3).alias("device"))
+    countries, history = known_users(t)
     path = scratch(t.spark, "enrich")
     for q in enrich.start_enrichment(payload_messages(t), countries, history, "error", path, path + "/checkpoint"):
         finished(q)
     return path
 
 
+def known_users(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Country and earlier purchases of users."""
+    countries = t.customer.where("c_custkey % 3 <> 0").select(col("c_custkey").cast("string").alias("user_id"), F.concat(F.lit("country "), col("c_nationkey")).alias("country"))
+    history = t.events.where("event_type = 'purchase'").select(
+        col("user_id").cast("string").alias("user_id"), F.date_format("ts", "yyyy-MM-dd").alias("event_date"),
+        col("event_type").alias("event_name"), F.concat(F.lit("device "), col("event_id") % 3).alias("device"))
+    return countries, history
+
+
 @query
 def t4_j19_enriched_events(t: Tables):
     out = t.spark.read.parquet(run_enrichment(t) + "/result")
@@ -102,12 +110,13 @@ def t5_step_failures(t: Tables):
     return t.spark.read.parquet(run_enrichment(t) + "/result_err").groupBy("step_name").agg(F.count("*").alias("n"))
 
 
-def keyed_messages(t: Tables) -> DataFrame:
+def keyed_messages(t: Tables, events: DataFrame | None = None) -> DataFrame:
     """Messages with a ``uid`` attribute; some have none and some a bad one."""
     body = F.to_json(F.struct("event_id", "user_id", F.round("value", 2).alias("cpc")))
     uid = F.when(col("event_id") % 40 == 1, F.concat(F.lit("x"), col("user_id"))).otherwise(col("user_id").cast("string"))
     attributes = F.when(col("event_id") % 25 == 0, F.create_map(F.lit("source"), F.lit("test"))).otherwise(F.create_map(F.lit("uid"), uid))
-    return event_stream(t).select(body.cast("binary").alias("data"), attributes.alias("attributes"), "publish_time")
+    events = event_stream(t) if events is None else events
+    return events.select(body.cast("binary").alias("data"), attributes.alias("attributes"), "publish_time")
 
 
 def run_routing(t: Tables, two_phase: bool) -> str:
@@ -160,8 +169,8 @@ def t12_micro_appends(t: Tables):
 @query
 def k15_offset_batches(t: Tables):
     path = scratch(t.spark, "offsets")
-    finished(appends.append_batches(event_stream(t).select("event_id"), path + "/rows", path + "/checkpoint"))
-    return t.spark.read.parquet(path + "/rows").agg(F.count("*").alias("n"), F.count_distinct("row_offset").alias("offsets"),
+    finished(appends.append_batches(event_stream(t).select("event_id"), path, path + "/checkpoint"))
+    return appends.committed(t.spark, path).agg(F.count("*").alias("n"), F.count_distinct("row_offset").alias("offsets"),
                                                      F.min("row_offset").alias("first"), F.max("row_offset").alias("last"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.nesting import nested
 from millrace.operators.relational import match
-from millrace.streaming.windows import parsed, users_in_windows
+from millrace.streaming.windows import DELAY, parsed, users_in_windows
 
 
 def country_of(users: DataFrame, countries: DataFrame) -> DataFrame:
@@ -41,10 +41,10 @@ def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
 
 
 def start_enrichment(lines: DataFrame, countries: DataFrame, history: DataFrame, event: str, out: str,
-                     checkpoint: str) -> list[StreamingQuery]:
+                     checkpoint: str, delay: str = DELAY) -> list[StreamingQuery]:
     """Results to ``out/result`` and unreadable messages to ``out/result_err``."""
     p = parsed(lines)
-    users = users_in_windows(p.where((F.col("event_name") == event) & F.col("step_name").isNull()))
+    users = users_in_windows(p.where((F.col("event_name") == event) & F.col("step_name").isNull()), delay=delay)
 
     def results(batch: DataFrame, batch_id: int) -> None:
         # the windows of the batch are joined three times but taken from the state once
