@@ -9,10 +9,10 @@ exact form, which stays the default.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.sinks import folders
+
 #: size of a sketch; more is more exact
 K = 400
 SKETCHES = "file string, n bigint, sketch binary"
@@ -25,28 +25,34 @@ def rank_error(k: int = K) -> float:
 
 def file_sketches(df: DataFrame, value: Column, k: int = K) -> DataFrame:
     """A sketch per input file of a table that is read from files; rows without a value don't count."""
-    rows = df.select(F.col("_metadata.file_path").alias("file"), value.cast("double").alias("v")).where("v is not null and not isnan(v)")
-    return rows.groupBy("file").agg(F.count("*").alias("n"), F.kll_sketch_agg_double("v", F.lit(k)).alias("sketch"))
+    return _sketched(file_values(df, value), k)
 
 
-def store_sketches(df: DataFrame, value: Column, path: str, k: int = K) -> None:
-    """Sketches of the files that are not in the table at ``path`` yet."""
-    known = df.sparkSession.read.schema(SKETCHES).parquet(path).select(F.col("file").alias("known")) if _there(df, path) else None
-    fresh = df if known is None else df.join(known, F.col("_metadata.file_path") == F.col("known"), "left_anti")
-    file_sketches(fresh, value, k).write.mode("append").parquet(path)
+def file_values(df: DataFrame, value: Column) -> DataFrame:
+    return df.select(F.col("_metadata.file_path").alias("file"), value.cast("double").alias("v")).where("v is not null and not isnan(v)")
+
+
+def _sketched(rows: DataFrame, k: int) -> DataFrame:
+    return rows.groupBy("file").agg(F.count("*").alias("n"), F.kll_sketch_agg_double("v", F.lit(k)).alias("sketch"))
 
 
-def _there(df: DataFrame, path: str) -> bool:
-    from millrace.sinks import folders
-    return folders.exists(df.sparkSession, path)
+def store_sketches(df: DataFrame, value: Column, path: str, k: int = K) -> None:
+    """Sketches of the files that are not in the table at ``path`` yet; other files are not read."""
+    spark = df.sparkSession
+    found = file_values(df, value)
+    if folders.exists(spark, path):
+        # names of files, one row each
+        known = [r["file"] for r in spark.read.schema(SKETCHES).parquet(path).select("file").collect()]
+        found = found.where(~F.col("file").isin(known)) if known else found
+    _sketched(found, k).write.mode("append").parquet(path)
 
 
 def sketched_percentiles(sketches: DataFrame, shares: list[float]) -> DataFrame:
-    """Share and approximate value over all files of a table of sketches."""
-    merged = sketches.agg(F.kll_merge_agg_double("sketch").alias("s"))
+    """Share and approximate value over all files of a table of sketches; no values give no rows."""
+    merged = sketches.agg(F.kll_merge_agg_double("sketch").alias("s"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
     at = F.array(*map(F.lit, shares))
     pairs = F.arrays_zip(at.alias("share"), F.kll_sketch_get_quantile_double("s", at).alias("value"))
-    return merged.where("s is not null").select(F.explode(pairs).alias("p")).select("p.share", "p.value")
+    return merged.where("n > 0").select(F.explode(pairs).alias("p")).select("p.share", "p.value")
 
 
 def rank_gap(df: DataFrame, value: Column, found: DataFrame) -> DataFrame:
@@ -64,8 +70,3 @@ def rank_gap(df: DataFrame, value: Column, found: DataFrame) -> DataFrame:
         at = r["share"] * (n - 1)
         out.append((r["share"], r["value"], max(below - at, at - max(upto - 1, below), 0.0) / max(n, 1)))
     return df.sparkSession.createDataFrame(out, "share double, value double, gap double")
-
-
-def confident(gap: float, k: int = K, shares: int = 1) -> bool:
-    """Whether a gap is within the bound for several quantiles at once."""
-    return gap <= rank_error(k) * math.sqrt(1 + math.log(max(shares, 1)))

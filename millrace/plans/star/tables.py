@@ -46,6 +46,16 @@ class Star:
     def stored(cls, spark: SparkSession, path: str) -> "Star":
         return cls(spark, lambda name: spark.read.parquet(f"{path}/{name}"))
 
+    @classmethod
+    def bucketed(cls, spark: SparkSession, prefix: str) -> "Star":
+        """Tables of the catalog as ``save_bucketed_star`` names them.
+
+        A join on order, item and one more key also goes without a shuffle of
+        tables that are bucketed by order and item.
+        """
+        spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+        return cls(spark, lambda name: spark.table(prefix + name))
+
     @classmethod
     def derived(cls, spark: SparkSession, sf_dir: str) -> "Star":
         sql = derive.statements(derive.SPARK)

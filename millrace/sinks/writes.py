@@ -94,6 +94,26 @@ def save_star(star, path: str, names: tuple[str, ...], partitioned: bool = True,
             write_partitioned(rows.where(F.col(key).isNotNull()) if dated_only else rows, key, f"{path}/{name}")
 
 
+# order and item of each fact table and its returns (fixed values)
+FACT_BUCKETS = {"store_sales": ("ss_ticket_number", "ss_item_sk"), "store_returns": ("sr_ticket_number", "sr_item_sk"),
+                "catalog_sales": ("cs_order_number", "cs_item_sk"), "catalog_returns": ("cr_order_number", "cr_item_sk"),
+                "web_sales": ("ws_order_number", "ws_item_sk"), "web_returns": ("wr_order_number", "wr_item_sk")}
+
+
+def save_bucketed_star(star, path: str, prefix: str, names: tuple[str, ...], buckets: int) -> None:
+    """Store tables of a star for ``Star.bucketed``: sales and returns bucketed and sorted by order and item.
+
+    All fact tables have the same number of buckets, one file each, so a sale
+    and its return are in buckets of one number and their joins need no shuffle.
+    """
+    for name in names:
+        writer, keys = star.table(name).write, FACT_BUCKETS.get(name)
+        if keys:
+            # the shuffle deals rows as buckets do
+            writer = star.table(name).repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+        writer.mode("overwrite").option("path", f"{path}/{name}").saveAsTable(prefix + name)
+
+
 def run_dated(spark: SparkSession, select: str, root: str, run_time: dt.datetime, prefix: str = "your_table") -> str:
     """Scheduled query: ``:run_date`` and ``:run_time`` in the text, the date in the target."""
     path = f"{root}/{prefix}_{run_time:%Y%m%d}"
