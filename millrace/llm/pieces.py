@@ -36,6 +36,8 @@ from millrace.llm.text import read, small_batches, whole
 MARK = "▁"
 #: bytes of text in a block, but for a longer document, which is a block of its own
 BLOCK = 16 << 20
+#: chunks that are encoded at once
+SLICE = 10_000
 #: one marker, then what is encoded as a text of its own
 CHUNK = re.compile(r" ( *[^ ]*)")
 OUT = "doc_id bigint, ids binary, decoded string"
@@ -72,8 +74,8 @@ class _Numbers(dict):
         return n
 
 
-_CUT = "block string, code int, chunk string, texts binary, known binary"
-_PAIRS = "block string, code int, chunk string"
+_CUT = "block bigint, code int, chunk string, texts binary, known binary"
+_PAIRS = "block bigint, code int, chunk string"
 
 
 def _packed(columns: dict[str, pa.Array]) -> bytes:
@@ -88,11 +90,6 @@ def _unpacked(blob: bytes) -> pa.Table:
     return pa.ipc.open_stream(blob).read_all()
 
 
-def _flat(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of numbered chunks in one array, and their sizes."""
-    return np.concatenate([np.zeros(0, "<u4"), *ids]).astype("<u4"), np.array([len(i) for i in ids], np.int64)
-
-
 def _chunk_ids(sp, found: list[str]) -> list[np.ndarray]:
     """Ids of chunks with their marker: an empty text has no marker, a chunk without more than its marker has one."""
     alone = [sp.piece_to_id(MARK)]
@@ -105,22 +102,26 @@ def cut(docs: DataFrame, model: bytes, size: int = BLOCK) -> DataFrame:
     The numbers of these chunks come first; ``known`` has the ids of the others in order.
     """
     names = [c.split()[0] for c in _CUT.split(", ")]
-    types = [pa.string(), pa.int32(), pa.string(), pa.binary(), pa.binary()]
+    types = [pa.int64(), pa.int32(), pa.string(), pa.binary(), pa.binary()]
 
-    def closed(name: str, numbers: _Numbers, ids: list, codes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def closed(name: int, numbers: _Numbers, ids: list, codes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         found, flat = np.array(list(numbers), object), np.concatenate(codes)
         times = np.bincount(flat, minlength=len(found))
         order = np.argsort(-times, kind="stable")
         place = np.empty_like(order)
         place[order] = np.arange(len(order))
         again = int((times > 1).sum())
-        once, sizes = _flat(_chunk_ids(_processor(model), found[order[again:]].tolist()))
+        sp, once, sizes = _processor(model), [np.zeros(0, "<u4")], [np.zeros(0, np.uint32)]
+        for lo in range(again, len(found), SLICE):
+            ids_ = _chunk_ids(sp, found[order[lo:lo + SLICE]].tolist())
+            once.append(np.concatenate(ids_))
+            sizes.append(np.array([len(i) for i in ids_], np.uint32))
         number, ends = place[flat], np.cumsum([0, *map(len, codes)])
         planes = {f"b{i}": pa.LargeListArray.from_arrays(ends, pa.array((number >> 8 * i & 255).astype(np.uint8))) for i in range(4)}
         chunk = found[order[:again]].tolist()
-        block = f"{name}-{zlib.crc32(chr(0).join(chunk).encode()):08x}"
+        block = name << 16 | zlib.crc32(chr(0).join(chunk).encode()) & 0xFFFF
         row = [[block], [None], [None], [_packed({"doc_id": pa.array(ids, pa.int64()), **planes})],
-               [_packed({"ids": pa.array([once], pa.large_list(pa.uint32())), "sizes": pa.array([sizes], pa.large_list(pa.int64()))})]]
+               [_packed({k: pa.array([np.concatenate(v)], pa.large_list(pa.uint32())) for k, v in (("ids", once), ("sizes", sizes))})]]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, types)], names)
         if again:
             rows = [[block] * again, range(again), chunk, None, None]
@@ -131,14 +132,14 @@ def cut(docs: DataFrame, model: bytes, size: int = BLOCK) -> DataFrame:
         numbers, ids, codes, held = _Numbers(), [], [], 0
         for rows in batches:
             for doc_id, text in zip(*(c.to_pylist() for c in rows.columns)):
-                codes.append(np.array(list(map(numbers.__getitem__, chunks(text))), np.int64))
+                codes.append(np.array(list(map(numbers.__getitem__, chunks(text))), np.int32))
                 ids.append(doc_id)
                 held += len(text)
                 if held >= size:
-                    yield from closed(f"{task}-{n}", numbers, ids, codes)
+                    yield from closed(task << 16 | n, numbers, ids, codes)
                     n, numbers, ids, codes, held = n + 1, _Numbers(), [], [], 0
         if ids:
-            yield from closed(f"{task}-{n}", numbers, ids, codes)
+            yield from closed(task << 16 | n, numbers, ids, codes)
 
     return docs.mapInArrow(run, _CUT)
 
@@ -164,7 +165,7 @@ def segmented(blocks: DataFrame, model: bytes) -> DataFrame:
 
     # the filter is in Python so that both uses of the blocks read one shuffle
     pairs = blocks.mapInArrow(sent, _PAIRS).repartition("chunk").sortWithinPartitions("chunk")
-    return pairs.mapInArrow(run, "of string, code int, ids binary")
+    return pairs.mapInArrow(run, "of bigint, code int, ids binary")
 
 
 def _rows(sp, doc_ids: list, ids: list[np.ndarray]) -> pa.Table:
