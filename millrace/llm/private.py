@@ -1,9 +1,11 @@
 """Personal data: fixed patterns, and identifiers found by bootstrapped contexts.
 
 The fixed patterns give e-mail addresses, IPv4 addresses, card and telephone
-numbers.  They are the seeds of the bootstrap: tokens that hold a digit or an @
-are instances, the words around them are their lexical patterns (two words
-before, or one word before and one after).  The graph of patterns and instances
+numbers.  They seed the bootstrap, and so do tokens that are shaped like a key
+or a password: long, of letters and digits in short runs, of many different
+characters.  Tokens that hold a digit or an @ are instances, the words around them are their lexical patterns (two words
+before, or one word before and one after).  A shape alone is no span: it takes a
+context that it shares with others.  The graph of patterns and instances
 is scored in turns: a pattern is as good as the share of its distinct
 instances that are believed, given enough of them and damped for rare patterns; an instance is as
 good as its patterns together.  Instances whose score passes a limit are
@@ -27,7 +29,7 @@ from millrace.session import materialized
 
 # possessive where a greedy repeat can't be continued otherwise: same matches, no deep recursion
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++"
-IP = r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+"
+IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]*?[0-9@][^\x20\x09-\x0D]*+"
@@ -42,6 +44,9 @@ class Params:
     seeds: int = 5               # distinct believed instances that a pattern needs
     pattern_score: float = 0.8   # share of believed instances that makes a pattern good
     instance_score: float = 0.8
+    secret_length: int = 16      # of a token that is a seed by its shape: characters, runs of letters or digits, different characters
+    secret_runs: int = 6
+    secret_variety: int = 8
 
 
 def _digits(m: Column) -> Column:
@@ -69,6 +74,13 @@ def _valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
+def _secret(core: Column, p: Params) -> Column:
+    """Whether a token is shaped like a key: long, letters and digits in short runs, many different characters."""
+    runs = F.length(F.regexp_replace(F.regexp_replace(core, "[A-Za-z]+", "x"), "[0-9]+", "0"))
+    varied = F.size(F.array_distinct(F.split(core, "")))
+    return F.when(F.length(core) >= p.secret_length, core.rlike(r"\A[A-Za-z0-9+/_=-]+\z") & (runs >= p.secret_runs) & (varied >= p.secret_variety)).otherwise(False)
+
+
 def _matches(text: Column, kind: str, pattern: str, where: Column) -> Column:
     """Array of ``kind, i, gap, hit``: the text before each match and the match; the last one is the rest of the text."""
     both = lambda group: F.regexp_extract_all(text, F.lit(f"(?s)(.*?)({pattern}|\\z)"), F.lit(group))
@@ -83,7 +95,7 @@ def scan(docs: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame:
     t = F.col("_t")
     digit = t.rlike("[0-9]")
     at = t.contains("@")
-    tried = {"email": (EMAIL, at), "ip": (IP, digit & t.rlike(r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]")),
+    tried = {"email": (EMAIL, at), "ip": (IP, digit & t.rlike(r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]")),
              "card": (CARD, digit & t.rlike(r"(?:[0-9][\x20-]?){15}[0-9]")),
              "phone": (PHONE, t.contains("+") & t.rlike(r"\+[0-9]")), "token": (TOKEN, digit | at)}
     base = docs.select(*[F.col(c).alias(f"c_{c}") for c in keep], whole(F.col(text)).alias("_t"))
@@ -98,7 +110,7 @@ def placed(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
     length = F.length("hit")
     each = each.select("*", (F.sum(F.col("skip") + length).over(order)).alias("end"),
                        F.lag("hit").over(order).alias("left_hit"), F.lead("hit").over(order).alias("right_hit"),
-                       F.lead("after").over(order).alias("right")).where(length > 0)
+                       F.lead("after").over(order).alias("right"), F.lead("skip").over(order).alias("right_skip")).where(length > 0)
     each = each.withColumn("start", F.col("end") - length)
     ok = F.lit(False)
     for kind in KINDS:
@@ -108,25 +120,28 @@ def placed(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
     edge = r"^[^A-Za-z0-9+]*"
     core = F.regexp_replace(F.regexp_replace("hit", edge, ""), r"[^A-Za-z0-9]*$", "")
     lead = F.length("hit") - F.length(F.regexp_replace("hit", edge, ""))
+    # of a long gap only the whole words near the token are context
+    before = F.when(F.col("skip") > NEAR, F.regexp_replace("before", r"\A[^ \t-\r]+", "")).otherwise(F.concat(F.coalesce("left_hit", F.lit("")), F.col("before")))
+    after = F.when(F.col("right_skip") > NEAR, F.regexp_replace("right", r"[^ \t-\r]+\z", "")).otherwise(F.concat("right", F.coalesce("right_hit", F.lit(""))))
     tokens = each.where("kind = 'token'").select(
         "row", core.alias("core"), (F.col("start") + lead).alias("start"),
-        F.slice(F.split(lowered(F.concat(F.coalesce("left_hit", F.lit("")), F.col("before"))), r"[ \t-\r]+"), -3, 3).alias("l"),
-        F.split(lowered(F.concat("right", F.coalesce("right_hit", F.lit("")))), r"[ \t-\r]+").alias("r"))
+        F.slice(F.split(lowered(before), r"[ \t-\r]+"), -3, 3).alias("l"), F.split(lowered(after), r"[ \t-\r]+").alias("r"))
     words = lambda c: F.array_remove(c, "")
     tokens = tokens.where(F.length("core") > 0).select(
         "row", "core", "start", (F.col("start") + F.length("core")).alias("end"), words(F.col("l")).alias("l"),
         F.get(words(F.col("r")), F.lit(0)).alias("r1"))
     l1, l2 = F.element_at("l", -1), F.get("l", F.size("l") - 2)
-    before = F.when(F.size("l") >= 2, F.concat_ws(" ", l2, l1, F.lit("_")))
+    ahead = F.when(F.size("l") >= 2, F.concat_ws(" ", l2, l1, F.lit("_")))
     around = F.when((F.size("l") >= 1) & F.col("r1").isNotNull(), F.concat_ws(" ", l1, F.lit("_"), F.col("r1")))
-    return spans, tokens.select("row", "core", "start", "end", F.array_compact(F.array(before, around)).alias("patterns"))
+    return spans, tokens.select("row", "core", "start", "end", F.array_compact(F.array(ahead, around)).alias("patterns"))
 
 
 def good_patterns(spans: DataFrame, tokens: DataFrame, params: Params) -> DataFrame:
     """Patterns (column ``pattern``) that hold believed instances after the last turn."""
     instance = F.xxhash64("core")
     inside = (spans["row"] == tokens["row"]) & (spans["start"] < tokens["end"]) & (tokens["start"] < spans["end"])
-    seeds = tokens.join(spans, inside, "left_semi").select(instance.alias("instance")).distinct()
+    shaped = tokens.where(_secret(F.col("core"), params)).select(instance.alias("instance"))
+    seeds = tokens.join(spans, inside, "left_semi").select(instance.alias("instance")).union(shaped).distinct()
     edges = materialized(tokens.select(instance.alias("instance"), F.explode("patterns").alias("pattern")).distinct())
     belief = seeds.select("instance", F.lit(1.0).alias("score"))
     good = None
@@ -184,13 +199,13 @@ def op10_personal_data(spark, sf_dir: str) -> DataFrame:
 
 
 def redacted(docs: DataFrame, params: Params = Params()) -> DataFrame:
-    """Documents with every span replaced by its kind in brackets; all columns kept."""
+    """Documents with every span replaced by its kind in brackets; all columns kept, whatever their names."""
     key = F.xxhash64("doc_id", "text")
-    found = personal_data(docs.select("doc_id", "text", key.alias("_key")), keep=("doc_id", "_key"), params=params)
-    found = found.where(F.size("spans") > 0).groupBy(F.col("_key").alias("_found"), F.col("doc_id").alias("_found_id")).agg(
-        F.first("spans").alias("_spans"))
-    on = (key == F.col("_found")) & docs["doc_id"].eqNullSafe(F.col("_found_id"))
-    text = F.col("text")
+    found = personal_data(docs.select("doc_id", "text", key.alias("key")), keep=("doc_id", "key"), params=params)
+    found = found.where(F.size("spans") > 0).groupBy("key", "doc_id").agg(F.first("spans").alias("spans"))
+    rows = docs.select(key.alias("own_key"), F.struct("*").alias("d"))
+    rows = rows.join(found, (F.col("own_key") == F.col("key")) & F.col("d.doc_id").eqNullSafe(F.col("doc_id")), "left")
+    text = F.col("d.text")
 
     def rebuilt(spans: Column) -> Column:
         """Spans by start; what an earlier one covers is skipped."""
@@ -202,8 +217,6 @@ def redacted(docs: DataFrame, params: Params = Params()) -> DataFrame:
         end = F.array_max(F.transform(spans, lambda y: y["end"]))
         return F.concat(F.array_join(F.transform(spans, piece), ""), F.substring(text, end + 1, F.length(text)))
 
-    by_start = F.sort_array(F.transform("_spans", lambda s: F.struct(s["start"], s["end"], s["kind"])))
-    new = F.when(F.col("_spans").isNotNull(), let(by_start, rebuilt)).otherwise(text)
-    names = docs.columns
-    return docs.join(found, on, "left").withColumn("_new", new).select(
-        *[(F.col("_new").alias(c) if c == "text" else docs[c]) for c in names])
+    by_start = F.sort_array(F.transform("spans", lambda s: F.struct(s["start"], s["end"], s["kind"])))
+    new = F.when(F.col("spans").isNotNull(), let(by_start, rebuilt)).otherwise(text)
+    return rows.select(*[new.alias(c) if c == "text" else F.col("d").getField(c).alias(c) for c in docs.columns])

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from millrace.llm import private
 from tests.llm.conftest import by_id
@@ -55,6 +56,29 @@ def test_patterns_find_identifiers_that_no_fixed_pattern_has(docs):
     assert got[101] == [] and all(len(got[i]) == 1 for i in range(12))
 
 
+def test_keys_in_a_shared_context_are_found(docs):
+    """Tokens shaped like keys believe in a context, which then finds a plainer one; a lone one is no span."""
+    import hashlib
+    keys = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(30)]
+    rows = [(i, f'filler{i} some words token = "{k}" then more{i}') for i, k in enumerate(keys)]
+    rows += [(100, 'others say token = "correct-horse-7" instead'), (101, f"only once beside {keys[0][::-1]} nothing"), (102, "page 12 of 345678901234567890123456")]
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in private.personal_data(docs(rows)).collect()}
+    for i, text in rows[:30]:
+        assert got[i] == [("other", text.index(keys[i]), text.index(keys[i]) + 40)]
+    assert got[100] == [("other", rows[30][1].index("correct"), rows[30][1].index("correct") + len("correct-horse-7"))]
+    assert got[101] == got[102] == []
+
+
+def test_very_long_runs_of_digits_take_seconds(docs):
+    rows = [(1, "7" * 1_000_000 + " 1.2.3.4"), (2, "1." * 20_000 + "9" * 200_000 + ".1.2.3 x@y.zz")]
+    began = time.time()
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in private.personal_data(docs(rows)).collect()}
+    assert time.time() - began < 60
+    assert got[1] == [("ip", 1_000_001, 1_000_008)]
+    # four parts each, the last ones before the long run
+    assert len(got[2]) == 5_001 and got[2][0] == ("email", 240_007, 240_013) and got[2][1] == ("ip", 0, 7)
+
+
 def test_redaction_keeps_all_else(docs, wide):
     rows = [(1, "a \U0001F600 x@y.zz b 1.2.3.4"), (2, "nothing"), (3, None), (None, "+1 234 567 8901"), (1, "a \U0001F600 x@y.zz b 1.2.3.4")]
     out = private.redacted(wide(docs(rows)))
