@@ -10,7 +10,8 @@ order.
 Defined cases: null texts have no characters; documents without source are a
 source of their own; sources without characters or with weight 0 get rate 0 and
 no copy; repeated rows get equal numbers of copies; an empty table gives no
-rows; other columns are carried along, but for ones named ``copy`` and ``place``.
+rows; other columns are carried along, but for ones named ``copy`` and ``place``,
+which the copy number and the place replace.
 """
 
 from __future__ import annotations
@@ -18,8 +19,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.text import read, whole
+from millrace.session import materialized
 
 SEED = 20240607
+#: bytes of a table of rates that is broadcast; a larger one is joined by a shuffle
+SMALL = 8 << 20
 
 
 def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, budget: int | None = None, source: str = "source",
@@ -65,13 +69,17 @@ def replicated(docs: DataFrame, weights: dict[str | None, float] | None = None,
     """Copies of the documents, all columns, with ``copy`` (from 1) and ``place``, the hash by which they are shuffled."""
     names = [c for c in docs.columns if c not in ("copy", "place")]
     docs = docs.select(*names)
-    table = rates(docs, weights, budget, source, text).toDF("_mix_source", "_mix_rate", "_mix_below")
+    table = materialized(rates(docs, weights, budget, source, text).withColumnRenamed("_source", "of"))
+    # a row per source: when they are few, the texts need not be shuffled by source
+    size = table.agg(F.coalesce(F.sum(8 * F.size("below") + F.coalesce(F.octet_length(F.col("of").cast("string")), F.lit(0)) + 64), F.lit(0))).first()[0]
+    table = F.broadcast(table) if size <= SMALL else table
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.md5(whole(F.col(text)))))
-    drawn = docs.withColumn("_mix_key", key).join(table, F.col(source).eqNullSafe(F.col("_mix_source")))
-    copies = F.size(F.filter("_mix_below", lambda p: p <= _uniform(F.col("_mix_key"))))
-    drawn = drawn.withColumn("_mix_n", copies).where("_mix_n > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_mix_n"))))
-    drawn = drawn.withColumn("place", F.md5(F.concat_ws(":", "_mix_key", "copy")))
-    return drawn.select(*names, "copy", "place").repartition("place").sortWithinPartitions("place", "copy")
+    drawn = docs.select(key.alias("key"), F.struct(*names).alias("d"))
+    drawn = drawn.join(table, F.col(f"d.`{source}`").eqNullSafe(F.col("of")))
+    copies = F.size(F.filter("below", lambda p: p <= _uniform(F.col("key"))))
+    drawn = drawn.withColumn("n", copies).where("n > 0").select("key", "d", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
+    drawn = drawn.select("d", "copy", F.md5(F.concat_ws(":", "key", "copy")).alias("place"))
+    return drawn.repartition("place").sortWithinPartitions("place", "copy").select(*[F.col("d").getField(c).alias(c) for c in names], "copy", "place")
 
 
 def op9_mix_sources(spark, sf_dir: str) -> DataFrame:
