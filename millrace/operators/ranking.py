@@ -27,9 +27,10 @@ def slot_of(value: Column, cuts: list) -> Column:
     """Number of cut points below a value, by halving one array of them."""
     if not cuts:
         return F.lit(0)
-    if isinstance(cuts[0], (int, float, decimal.Decimal)) and not isinstance(cuts[0], bool):
+    kinds = {type(c) for c in cuts}
+    if kinds <= {int, float, decimal.Decimal}:
         # one literal, however many cut points
-        kind = "double" if isinstance(cuts[0], float) else "bigint" if isinstance(cuts[0], int) else "decimal(38,18)"
+        kind = "double" if float in kinds else "decimal(38,18)" if decimal.Decimal in kinds else "bigint"
         points = F.split(F.lit(",".join(map(str, cuts))), ",").cast(f"array<{kind}>")
     else:
         points = F.array(*map(F.lit, cuts))

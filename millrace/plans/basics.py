@@ -428,10 +428,11 @@ def w2_rank_per_group(t: Tables):
 
 @query
 def w3_both_ends(t: Tables):
-    s = t.orders.groupBy("o_custkey").agg(F.count("*").alias("n"))
-    up = first_ranks(s, "n", "rk", 10).select("rk", col("o_custkey").alias("fewest"))
-    down = first_ranks(s, "n", "rk2", 10, descending=True).select("rk2", col("o_custkey").alias("most"))
-    return match(up, down, rk="rk2").select("rk", "fewest", "most")
+    """Customers by the worth of their orders, an amount in cents, so that ties are rare and small."""
+    s = t.orders.groupBy("o_custkey").agg(total("o_totalprice").alias("worth"))
+    up = first_ranks(s, "worth", "rk", 10).select("rk", col("o_custkey").alias("least"))
+    down = first_ranks(s, "worth", "rk2", 10, descending=True).select("rk2", col("o_custkey").alias("most"))
+    return match(up, down, rk="rk2").select("rk", "least", "most")
 
 
 @query

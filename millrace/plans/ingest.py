@@ -9,6 +9,7 @@ from millrace.functions.text import blank, words
 from millrace.operators.relational import match
 from millrace.registry import Tables, query
 from millrace.session import scratch
+from millrace.sinks import folders
 from millrace.sources import files, keyed_logs
 
 col = F.col
@@ -36,7 +37,7 @@ def s1_positional_json(t: Tables):
     docs = t.orders.groupBy((F.floor(col("o_orderkey") / 1000)).alias("doc")).agg(
         F.to_json(F.struct(F.collect_list(F.array(*values)).alias("data"))).alias("value"))
     path = scratch(t.spark, "names")
-    docs.write.partitionBy("doc").text(path)
+    docs.select("value").write.option("maxRecordsPerFile", 1).text(path)  # a file is one document
     rows = files.positional_json(t.spark, path, NAME_FIELDS)
     return rows.groupBy("year", "first_name", "sex").agg(F.count("*").alias("n"), F.sum("count").alias("total"))
 
@@ -118,17 +119,23 @@ def s9_table_folders(t: Tables):
 
 @query
 def s10_daily_logs(t: Tables):
-    """Grouped blocks read from one file per day; the day is in the file name."""
+    """Grouped blocks read by a pattern of file names; the day is in the name."""
     return grant_blocks(t).groupBy("dt").agg(F.count("*").alias("n"))
 
 
 def keyed_lines(t: Tables, name: str, body) -> str:
-    """Write ``{user: payload}`` lines, one folder per day."""
+    """Write ``{user: payload}`` lines to files of one folder that are named ``<name>_<day>_<number>.json``."""
     path = scratch(t.spark, name)
     line = F.to_json(F.create_map(F.col("user_id").cast("string"), body))
     e = t.events.select(F.date_format("ts", "yyyyMMdd").alias("day"), line.alias("value"))
-    e.write.partitionBy("day").text(path)
-    return path
+    e.hint("rebalance", "day").write.partitionBy("day").text(path + "/parts")
+    e.select("value").limit(0).write.text(path + "/logs")
+    for day in folders.children(t.spark, path + "/parts"):  # names of files, no rows
+        if day.startswith("day="):
+            parts = [f for f in folders.children(t.spark, f"{path}/parts/{day}") if f.startswith("part-")]
+            for i, part in enumerate(parts):
+                folders.move(t.spark, f"{path}/parts/{day}/{part}", f"{path}/logs/{name}_{day[4:]}_{i}.json")
+    return f"{path}/logs/{name}_*.json"
 
 
 def record(fields: tuple[str, ...], i) -> Column:
@@ -144,7 +151,7 @@ def repeated(fields: tuple[str, ...]) -> Column:
 
 def repeated_rows(t: Tables, name: str, fields: tuple[str, ...]):
     path = keyed_lines(t, name, repeated(fields))
-    return keyed_logs.repeated_records(files.daily_logs(t.spark, path, r"day=([0-9]+)"), fields)
+    return keyed_logs.repeated_records(files.daily_logs(t.spark, path), fields)
 
 
 def grant_blocks(t: Tables):
@@ -182,7 +189,7 @@ def n4_app_access(t: Tables):
         F.when(~odd, F.array(F.lit("a"), F.lit("b"))).alias("appflag"), F.array(F.lit("10.0.0.1")).alias("ip"),
         F.when(odd, "high").alias("hitDictLevel"))
     path = keyed_lines(t, "access", body)
-    rows = keyed_logs.list_records(files.daily_logs(t.spark, path, r"day=([0-9]+)"))
+    rows = keyed_logs.list_records(files.daily_logs(t.spark, path))
     return rows.groupBy("user_name").agg(
         F.count("*").alias("n"), F.sum(F.size("target")).alias("targets"), F.sum(F.size("appflag")).alias("flags"),
         F.sum(F.aggregate("authLevel", F.lit(0), lambda a, x: a + x)).alias("levels"),

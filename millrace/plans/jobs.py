@@ -78,7 +78,7 @@ def test_events(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     name = F.when(col("event_type") == "view", "post_content_show").when(k % 2 == 0, "post_more_click").otherwise("post_tag_click")
     info = F.to_json(F.struct(name.alias("function_id"), (k % 5).cast("string").alias("subject_id"),
                               (k % 3).cast("string").alias("tag_id"), k.cast("string").alias("post_id")))
-    e = t.events.select(col("user_id").alias("uid"), F.lit("20036879").alias("eventid"),
+    e = t.events.select(col("user_id").alias("uid"), F.lit("1001").alias("eventid"),
                         F.lit("20240105").alias("dt"), info.alias("moreinfo"))
     c = t.customer.select(col("c_custkey").alias("uid"), F.lit("20240105").alias("dt"), "*")
     tests = c.select("uid", F.concat(F.lit("test"), col("c_custkey") % 2).alias("abtest"),
@@ -94,7 +94,7 @@ def test_events(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
 def m13_test_funnel(t: Tables):
     """The whole funnel, written for its day and read back."""
     events, tests, people = test_events(t)
-    cube = funnel_cube(funnel_users(events, tests, people, "20036879", "20240105"))
+    cube = funnel_cube(funnel_users(events, tests, people, "1001", "20240105"))
     path = scratch(t.spark, "funnel")
     replace_day(cube, path, "20240105")
     out = t.spark.read.parquet(path)

@@ -115,6 +115,24 @@ def k7_duplicate_tables(t: Tables):
     return archive.duplicates(export_plan(t))
 
 
+@query
+def k7_refused_snapshots(t: Tables):
+    """Snapshots of a plan that names tables twice are refused whole; without the repeated ones they are taken."""
+    root, now = scratch(t.spark, "refused"), dt.datetime(2024, 1, 1)
+    plan = export_plan(t)
+    rows = lambda dataset, table: t.orders.where(col("o_orderkey") % 100 == F.lit(len(dataset + table)))
+    try:
+        snapshots.take_snapshots(plan, rows, root, now)
+        refused = False
+    except ValueError:
+        refused = not folders.children(t.spark, root)
+    keys = ["input_project", "input_dataset", "input_table"]
+    once = plan.join(archive.duplicates(plan), keys, "left_anti")
+    few = once.where("kind <> 'view'").orderBy(*keys).limit(3)
+    taken = snapshots.take_snapshots(few, rows, root, now)
+    return archive.duplicates(plan).agg(F.count("*").alias("repeated"), F.lit(refused).alias("refused"), F.lit(len(taken)).alias("taken"))
+
+
 @query
 def k8_table_kinds(t: Tables):
     return archive.table_kind(table_list(t)).groupBy("kind").agg(F.count("*").alias("n"))

@@ -153,10 +153,10 @@ def checked_config(config: DataFrame) -> DataFrame:
     def days(c):
         return F.when(F.col(c) == "", 0).otherwise(F.expr(f"try_cast({c} as int)"))
 
-    bucket = F.regexp_replace(F.regexp_replace("bucket", "^gs://", ""), "/$", "")
+    bucket = F.regexp_replace(F.regexp_replace("bucket", "^[a-z0-9]+://", ""), "/$", "")
     df = config.withColumns({
         "days_before_remove": days("days_before_remove"), "days_before_export": days("days_before_export"),
-        "bucket": bucket, "storage_class": F.when(F.col("storage_class") == "", "NEARLINE").otherwise(F.col("storage_class"))})
+        "bucket": bucket, "storage_class": F.when(F.col("storage_class") == "", "standard").otherwise(F.col("storage_class"))})
     error = (F.when(F.col("input_project").isin("", "*"), "project")
              .when(F.col("input_dataset") == "", "dataset")
              .when((F.col("input_dataset") != "*") & (F.col("input_table") == ""), "table")

@@ -20,6 +20,11 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def move(spark: SparkSession, path: str, target: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(target))
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.delete(p, True)

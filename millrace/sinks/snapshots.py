@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.sinks import folders
+from millrace.sinks.archive import duplicates
 
 SUFFIX = "_snapshot"
 MANIFEST = "dataset string, table string, path string, created_at timestamp, expires_at timestamp"
@@ -29,6 +30,19 @@ def take_snapshot(df: DataFrame, root: str, dataset: str, table: str, now: dt.da
     return path
 
 
+def take_snapshots(plan: DataFrame, tables, root: str, now: dt.datetime, keep_days: int = 7) -> list[str]:
+    """Copies of the tables of an expanded plan; nothing is copied if it names a table more than once.
+
+    ``tables`` gives the rows of a dataset and table.
+    """
+    twice = [f"{r['input_dataset']}.{r['input_table']}" for r in duplicates(plan).limit(10).collect()]
+    if twice:
+        raise ValueError(f"named more than once: {', '.join(sorted(twice))}")
+    named = plan.where("kind <> 'view'").select("input_dataset", "input_table").collect()  # metadata, a row per table
+    taken = [take_snapshot(tables(*r), root, *r, now, keep_days) for r in sorted(named)]
+    return [path for path in taken if path]
+
+
 def snapshots(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(MANIFEST).parquet(f"{root}/_manifest")
 

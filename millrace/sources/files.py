@@ -61,10 +61,10 @@ def register_tables(spark: SparkSession, path: str, names: tuple[str, ...] = TAB
     return star
 
 
-def daily_logs(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    """Log lines with ``dt`` cut out of the name of the file they came from."""
-    lines = spark.read.option("recursiveFileLookup", True).text(path)
-    return lines.select("value", F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).alias("dt"))
+def daily_logs(spark: SparkSession, paths: str, pattern: str = r"_([0-9]{8})[_.]") -> DataFrame:
+    """Log lines of the files that match a path, with ``dt`` cut out of the name of the file they came from."""
+    lines = spark.read.text(paths)
+    return lines.select("value", F.regexp_extract(F.col("_metadata.file_name"), pattern, 1).alias("dt"))
 
 
 def projected(df: DataFrame, fields: list[str], restriction: str) -> DataFrame:

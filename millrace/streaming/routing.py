@@ -2,21 +2,34 @@
 
 Every batch first takes the earliest message of each key, so that a second one
 in the same batch finds the key complete.  Statuses live in an append-only log
-in which the newest row of a key wins; all outputs are folders per batch, so a
+in which the newest row of a key wins.  The log has a folder per bucket of keys,
+and a batch reads only the buckets of its own keys.  All outputs are folders per batch, so a
 batch that is run again replaces what it wrote.  Every so many batches the log
 is folded into one row per key, which starts a new generation of the log.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.relational import match, union_all
 from millrace.sinks import folders
 from millrace.sinks.writes import newest
 
-STATUS = "uid string, data string, status string, seq int, gen int, batch bigint"
+STATUS = "uid string, data string, status string, seq int, gen int, batch bigint, bucket int"
+#: buckets of keys; a table keeps the number that it is begun with
+BUCKETS = 64
+
+
+def bucket_of(uid: Column) -> Column:
+    return F.pmod(F.xxhash64(uid), F.lit(BUCKETS)).cast("int")
+
+
+def write_log(rows: DataFrame, path: str) -> None:
+    """Log rows in a folder per bucket of keys, one file each."""
+    rows = rows.withColumn("bucket", bucket_of(F.col("uid")))
+    rows.repartition("bucket").write.mode("overwrite").partitionBy("bucket").option("partitionOverwriteMode", "static").parquet(path)
 
 
 def validated(messages: DataFrame) -> DataFrame:
@@ -70,22 +83,23 @@ def read_log(spark: SparkSession, path: str, before: int | None = None, gen: int
     return log if before is None else log.where(F.col("batch") < before)
 
 
-def current_status(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    """Newest row per key; reads only the current generation."""
-    log = read_log(spark, path, before, generation(spark, path)).select("uid", "data", "status", "seq", "batch")
-    return newest(log, "uid", ["batch", "seq"])
+def current_status(spark: SparkSession, path: str, before: int | None = None, buckets: list[int] | None = None) -> DataFrame:
+    """Newest row per key; reads only the current generation, and of it only some buckets of keys if they are named."""
+    log = read_log(spark, path, before, generation(spark, path))
+    log = log if buckets is None else log.where(F.col("bucket").isin(buckets))
+    return newest(log.select("uid", "data", "status", "seq", "batch"), "uid", ["batch", "seq"])
 
 
 def seed_status(rows: DataFrame, path: str) -> None:
     """Statuses known before the stream starts: uid, data, status."""
-    rows.withColumn("seq", F.lit(0)).write.mode("overwrite").parquet(f"{path}/gen=0/batch=-1")
+    write_log(rows.withColumn("seq", F.lit(0)), f"{path}/gen=0/batch=-1")
 
 
 def fold_status(spark: SparkSession, path: str, before: int) -> int:
     """Start a generation with one row per key known before a batch; safe to repeat."""
     gen = generation(spark, path) + 1
     rows = current_status(spark, path, before).select("uid", "data", "status", "seq")
-    rows.write.mode("overwrite").parquet(f"{path}/gen={gen}/batch=-1")
+    write_log(rows, f"{path}/gen={gen}/batch=-1")
     return gen
 
 
@@ -98,7 +112,9 @@ def route_batch(batch: DataFrame, batch_id: int, out: str, two_phase: bool = Fal
     batch = batch.persist()
     try:
         checked = validated(batch)
-        status = current_status(spark, f"{out}/status", before=batch_id)
+        keyed = checked.where("step_name is null")
+        buckets = [r[0] for r in keyed.select(bucket_of(F.col("uid"))).distinct().collect()]  # BUCKETS at most
+        status = current_status(spark, f"{out}/status", before=batch_id, buckets=buckets)
         routed = classified(checked.where("step_name is null").drop("step_name"), status).persist()
         try:
             sink = accepted(routed.where("route = 'complete'").select("uid", "data", F.lit("complete").alias("status"), "attributes"))
@@ -106,8 +122,8 @@ def route_batch(batch: DataFrame, batch_id: int, out: str, two_phase: bool = Fal
                 F.decode("data", "UTF-8").alias("data"), "attributes", "step_name")
             rejected = sink.where("rejected").select("data", "attributes", F.lit("write").alias("step_name"))
             writes = {"duplicates": sink.where("not rejected").select("uid", "data", "status"),
-                      "dead_letters": union_all(failed, rejected),
-                      f"status/gen={gen}": status_rows(routed, two_phase)}
+                      "dead_letters": union_all(failed, rejected)}
+            write_log(status_rows(routed, two_phase), f"{out}/status/gen={gen}/batch={batch_id}")
             for name, df in writes.items():
                 df.write.mode("overwrite").parquet(f"{out}/{name}/batch={batch_id}")
         finally:

@@ -127,9 +127,9 @@ sql("w1_first_per_group", """from (select cast(year(o_orderdate) as integer) as
   join part on p_partkey = l_partkey group by all) qualify row_number() over (partition by year order by q desc, p_brand) = 1""")
 sql("w2_rank_per_group", """select o_orderpriority, o_custkey, round(sum(o_totalprice), 2) as v,
   rank() over (partition by o_orderpriority order by round(sum(o_totalprice), 2) desc) as rk from orders group by 1, 2 qualify rk <= 5""")
-sql("w3_both_ends", """with s as (select o_custkey, count(*) as n from orders group by 1),
-  r as (select o_custkey, rank() over (order by n) as up, rank() over (order by n desc) as down from s)
-  select a.up as rk, a.o_custkey as fewest, b.o_custkey as most from r a join r b on b.down = a.up where a.up <= 10""")
+sql("w3_both_ends", """with s as (select o_custkey, round(sum(o_totalprice), 2) as worth from orders group by 1),
+  r as (select o_custkey, rank() over (order by worth) as up, rank() over (order by worth desc) as down from s)
+  select a.up as rk, a.o_custkey as least, b.o_custkey as most from r a join r b on b.down = a.up where a.up <= 10""")
 sql("w4_either_rank", """select p_partkey, p_size, p_retailprice, rank() over (order by p_size) as by_size,
   rank() over (order by p_retailprice desc) as by_price from part qualify by_size <= 10 or by_price <= 10""")
 sql("w5_rank_in_parent", """select *, rank() over (partition by lvl, if(lvl = 0, p_type, null) order by v desc) as rk from

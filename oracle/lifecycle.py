@@ -32,6 +32,8 @@ sql("k6_export_routes", f"""{_PLAN}, r as (select kind, case
   select kind, route, count(*) as n from r group by all""")
 sql("k7_duplicate_tables", f"""{_PLAN} select 'main' as input_project, ds as input_dataset, tb as input_table, count(*) as n from p
   group by all having count(*) > 1""")
+sql("k7_refused_snapshots", f"""{_PLAN} select count(*) as repeated, true as refused, cast(3 as integer) as taken
+  from (select ds, tb from p group by all having count(*) > 1)""")
 sql("k8_table_kinds", f"{_PLAN} select kind, count(*) as n from m group by 1")
 sql("k9_k10_snapshots", "select 'customer_20240106' as name, count(*) as n, cast(1 as integer) as expired, true as skipped from customer")
 sql("k11_dispositions", "select r_name, cast(2 as bigint) as n, true as refused from region")

@@ -160,9 +160,9 @@ _STATS = ", ".join(f"count({c}) as {n}count, avg({c}) as {n}ave, round(stddev_sa
                    f"round(stddev_samp({c}) / avg({c}), 6) as {n}cov" for c, n in (
                        ("ss_quantity", "store_sales_quantity"), ("sr_return_quantity", "store_returns_quantity"),
                        ("cs_quantity", "catalog_sales_quantity")))
-case("q17", dict(first="1998Q1", later=_QUARTERS),
+case("q17", dict(first="1997Q1", later=_QUARTERS),
      f"select i_item_id, i_item_desc, s_state, {_STATS} "
-     f"{_chain(chr(100) + '_quarter_name = ' + repr('1998Q1'), f'd_quarter_name in {_QUARTERS}', f'd_quarter_name in {_QUARTERS}')} group by all",
+     f"{_chain(chr(100) + '_quarter_name = ' + repr('1997Q1'), f'd_quarter_name in {_QUARTERS}', f'd_quarter_name in {_QUARTERS}')} group by all",
      "i_item_id i_item_desc s_state")
 case("q25", dict(year=1999, first=1, last=12), f"""
   select i_item_id, i_item_desc, s_store_id, s_store_name, round(sum(ss_net_profit), 2) as store_sales_profit,
@@ -220,14 +220,14 @@ for _name, _fact, _p, _join, _label in (
         join ship_mode on sm_ship_mode_sk = {_p}ship_mode_sk join {_join}
       group by all""", f"w_warehouse_name_substr sm_type {_label}")
 
-case("q61", dict(offset=-6, category="PROMO", year=1999, month=11), """
+case("q61", dict(offset=-8, category="SMALL", year=1997, month=2), """
   with s as (
     select ss_ext_sales_price as price, 'Y' in (p_channel_dmail, p_channel_email, p_channel_tv) as promoted
-    from store_sales join date_dim on d_date_sk = ss_sold_date_sk and d_year = 1999 and d_moy = 11
-      join store on s_store_sk = ss_store_sk and s_gmt_offset = -6
-      join item on i_item_sk = ss_item_sk and i_category = 'PROMO'
+    from store_sales join date_dim on d_date_sk = ss_sold_date_sk and d_year = 1997 and d_moy = 2
+      join store on s_store_sk = ss_store_sk and s_gmt_offset = -8
+      join item on i_item_sk = ss_item_sk and i_category = 'SMALL'
       join customers on c_customer_sk = ss_customer_sk
-      join customer_address on ca_address_sk = c_current_addr_sk and ca_gmt_offset = -6
+      join customer_address on ca_address_sk = c_current_addr_sk and ca_gmt_offset = -8
       left join promotion on p_promo_sk = ss_promo_sk)
   select round(sum(price) filter (promoted), 2) as promotions, round(sum(price), 2) as total,
     round(sum(price) filter (promoted), 2) / round(sum(price), 2) * 100 as share from s""")

@@ -222,12 +222,12 @@ case("q6", dict(year=2000, month=2, factor=1.2, least=2), f"""
     and i.i_current_price > 1.2e0 * (select {avg2('j.i_current_price')} from item j where j.i_category = i.i_category)
   group by ca_state having count(*) >= 2""", "cnt")
 
-for _name, _fact, _p in (("q32", "catalog_sales", "cs_"), ("q92", "web_sales", "ws_")):
-    case(_name, dict(maker=26, start="1998-03-18"), f"""
+for _name, _fact, _p, _maker in (("q32", "catalog_sales", "cs_", 21), ("q92", "web_sales", "ws_", 73)):
+    case(_name, dict(maker=_maker, start="1998-03-18"), f"""
       with s as (
         select {_p}item_sk as k, {_p}ext_discount_amt as amt from {_fact}
           join date_dim on d_date_sk = {_p}sold_date_sk and {span('1998-03-18', 90)}
-          join item on i_item_sk = {_p}item_sk and i_manufact_id = 26)
+          join item on i_item_sk = {_p}item_sk and i_manufact_id = {_maker})
       select round(sum(amt), 2) as excess_discount_amount
       from s where amt > (select 1.3e0 * ({avg2('z.amt')}) from s z where z.k = s.k)""")
 

@@ -94,11 +94,11 @@ def test_retention_removes_folders(spark, folder):
 
 def test_config_check(spark):
     cols = "input_project, input_dataset, input_table, days_before_remove, days_before_export, remove_orig_data, bucket, storage_class".split(", ")
-    data = [("p", "d", "t", "", "3", "Y", "gs://b/", ""), ("*", "d", "t", "", "", "N", "", ""), ("p", "d", "t", "x", "", "N", "", ""),
-            ("p", "d", "t", "", "", "maybe", "", ""), ("p", "d", "t", "", "", "N", "gs://b/c", ""), ("p", "*", "", "1", "", "N", "", "COLD")]
+    data = [("p", "d", "t", "", "3", "Y", "store://b/", ""), ("*", "d", "t", "", "", "N", "", ""), ("p", "d", "t", "x", "", "N", "", ""),
+            ("p", "d", "t", "", "", "maybe", "", ""), ("p", "d", "t", "", "", "N", "store://b/c", ""), ("p", "*", "", "1", "", "N", "", "cold")]
     got = archive.checked_config(spark.createDataFrame(data, cols)).collect()
     assert [r["error"] for r in got] == [None, "project", "days_before_remove", "remove_orig_data", "bucket", None]
-    assert (got[0]["days_before_export"], got[0]["bucket"], got[0]["storage_class"]) == (3, "b", "NEARLINE")
+    assert (got[0]["days_before_export"], got[0]["bucket"], got[0]["storage_class"]) == (3, "b", "standard")
 
 
 def test_snapshots(spark, folder):

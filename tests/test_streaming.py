@@ -105,3 +105,25 @@ def test_a_repeated_batch_replaces_its_output(spark, folder):
 def test_source_needs_one_topic_choice(spark):
     with pytest.raises(ValueError):
         messages.kafka_messages(spark, "host:1")
+
+
+def test_a_batch_reads_only_the_buckets_of_its_keys(spark, folder):
+    known = spark.createDataFrame([(str(i), "{}", "complete") for i in range(500)], "uid string, data string, status string")
+    routing.seed_status(known, folder + "/status")
+    wanted = [r[0] for r in known.where("uid in ('3', '77')").select(routing.bucket_of(F.col("uid"))).distinct().collect()]
+    some = routing.current_status(spark, folder + "/status", buckets=wanted)
+    assert {"3", "77"} <= {r.uid for r in some.collect()}
+    files = {f for f in routing.read_log(spark, folder + "/status", gen=0).where(F.col("bucket").isin(wanted)).select("_metadata.file_path").distinct().toPandas()["file_path"]}
+    assert len(files) == len(wanted) < routing.BUCKETS
+    assert some.count() == known.where(routing.bucket_of(F.col("uid")).isin(wanted)).count()
+
+
+def test_large_parts_are_dealt_to_pieces(spark):
+    from millrace.operators.nesting import nested
+    rows = [("hot", i) for i in range(1000)] + [("cold", 1), (None, 2), (None, 3)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    out = nested(df, ["k"], F.struct("v"), "items", F.lit("all"), most=100).collect()
+    assert sorted(len(r["items"]) for r in out if r.k != "hot") == [1, 2]
+    hot = [r for r in out if r.k == "hot"]
+    assert {r.piece for r in hot} == set(range(10)) and max(len(r["items"]) for r in hot) < 150
+    assert sorted(x.v for r in hot for x in r["items"]) == list(range(1000))
