@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.ml import features, models, search
 from millrace.operators.relational import match
@@ -96,10 +96,18 @@ def price_rows(t: Tables) -> DataFrame:
     return match(o, lines, o_orderkey="k")
 
 
-def regression_report(t: Tables, scored: DataFrame, label: str) -> DataFrame:
-    """Held-out rows, and whether the predictions are better than the mean."""
+def squared_error(guess: Column, label: str) -> Column:
+    return F.sqrt(F.avg(F.pow(col(label) - guess, 2)))
+
+
+def regression_report(train: DataFrame, scored: DataFrame, label: str, per: str) -> DataFrame:
+    """Held-out rows, and whether the predictions are at least a third better than the mean of the training rows and no
+    more than a quarter worse than a plain rate (training total of the label by total of ``per``)."""
+    known = train.agg(F.avg(label).alias("mean"), (F.sum(label) / F.sum(per)).alias("rate")).first()
     scores = models.regression_scores(scored, label)
-    return scored.agg(F.count("*").alias("n"), F.lit(scores["r2"] > 0).alias("better_than_mean"), F.lit(scores["rmse"] > 0).alias("has_error"))
+    mean, rate = (squared_error(guess, label) for guess in (F.lit(known["mean"]), col(per) * known["rate"]))
+    better = (scores["rmse"] <= 2 * mean / 3) & F.lit(scores["r2"] > 0.5)
+    return scored.agg(F.count("*").alias("n"), better.alias("better_than_mean"), (scores["rmse"] <= 1.25 * rate).alias("near_plain_rate"))
 
 
 @query
@@ -107,7 +115,7 @@ def l8_boosted_regression(t: Tables):
     train, test = by_key(price_rows(t), "o_orderkey", 70)
     stages = features.category_indexed(["month", "year", "lines", "units"])
     model = Pipeline(stages=stages + [models.boosted_regressor("worth")]).fit(train)
-    return regression_report(t, model.transform(test), "worth")
+    return regression_report(train, model.transform(test), "worth", "units")
 
 
 @query
@@ -116,7 +124,7 @@ def l9_forest_regression(t: Tables):
     train, test = by_key(features.indexed(price_rows(t), ["o_orderpriority"]), "o_orderkey", 80)
     stages = [features.assembled(["o_orderpriority_idx", "lines", "units"], "features")]
     model = Pipeline(stages=stages + [models.forest_regressor("worth")]).fit(train)
-    return regression_report(t, model.transform(test), "worth")
+    return regression_report(train, model.transform(test), "worth", "units")
 
 
 @query
@@ -136,7 +144,7 @@ def l10_search_in_pipeline(t: Tables):
     grid = models.depth_grid(gbt, depths=(2,), iterations=(2, 4))
     evaluator = RegressionEvaluator(labelCol="worth", metricName="rmse")
     model = models.inside_pipeline(features.category_indexed(["month", "lines", "units"]), gbt, grid, evaluator, 3, train)
-    return regression_report(t, model.transform(test), "worth")
+    return regression_report(train, model.transform(test), "worth", "units")
 
 
 @query

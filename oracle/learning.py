@@ -17,11 +17,11 @@ sql("l6_l11_logistic", f"""select case when l_extendedprice / l_quantity > 1500
   from lineitem where {_HELD % ('l_orderkey', 70)} group by 1""")
 sql("l7_t13_boosted_stream", """select cast(label % 2 as double) as label, count(*) as n, count(distinct vec_id) as vectors, true as beats_constant
   from embeddings group by 1""")
-sql("l8_boosted_regression", f"""select count(*) as n, true as better_than_mean, true as has_error from orders
+sql("l8_boosted_regression", f"""select count(*) as n, true as better_than_mean, true as near_plain_rate from orders
   where {_HELD % ('o_orderkey', 70)} and o_orderkey in (select l_orderkey from lineitem)""")
-sql("l9_forest_regression", f"select count(*) as n, true as better_than_mean, true as has_error from orders where {_HELD % ('o_orderkey', 80)} and o_orderkey in (select l_orderkey from lineitem)")
+sql("l9_forest_regression", f"select count(*) as n, true as better_than_mean, true as near_plain_rate from orders where {_HELD % ('o_orderkey', 80)} and o_orderkey in (select l_orderkey from lineitem)")
 sql("l10_grid_search", """select 'elasticNetParam=' || n || '; maxIter=' || i || '; regParam=' || r as params, true as no_worse_than_chance
   from (select unnest(['0.0', '0.5', '1.0']) as n), (select unnest(['1', '5', '10']) as i), (select unnest(['0.01', '0.5', '2.0']) as r)""")
-sql("l10_search_in_pipeline", f"""select count(*) as n, true as better_than_mean, true as has_error from orders
+sql("l10_search_in_pipeline", f"""select count(*) as n, true as better_than_mean, true as near_plain_rate from orders
   where {_HELD % ('o_orderkey', 70)} and o_orderkey in (select l_orderkey from lineitem)""")
 sql("l12_random_search", "select cast(4 as bigint) as trials, cast(4 as bigint) as above_chance, true as held_out")
