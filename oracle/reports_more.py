@@ -18,13 +18,13 @@ case("q2", dict(year=1998), f"""
   select a.d_week_seq as d_week_seq1, {', '.join(half_up(f'a.{d}_sales / b.{d}_sales') + f' as {d}_ratio' for d in _D)}
   from a join b on b.d_week_seq = a.d_week_seq + 53""", "d_week_seq1", None)
 
-case("q59", dict(month=1176), f"""
+case("q59", dict(month=1204), f"""
   with weekly as (
     select d_week_seq, ss_store_sk, {weekday_sums('ss_sales_price')}
     from store_sales join date_dim on d_date_sk = ss_sold_date_sk group by all),
   named as (select weekly.*, s_store_name, s_store_id from weekly join store on s_store_sk = ss_store_sk),
-  a as (select named.* from named join date_dim using (d_week_seq) where d_month_seq between 1176 and 1187),
-  b as (select named.* from named join date_dim using (d_week_seq) where d_month_seq between 1188 and 1199)
+  a as (select named.* from named join date_dim using (d_week_seq) where d_month_seq between 1204 and 1215),
+  b as (select named.* from named join date_dim using (d_week_seq) where d_month_seq between 1216 and 1227)
   select a.s_store_name as s_store_name1, a.s_store_id as s_store_id1, a.d_week_seq as d_week_seq1,
     {', '.join(f'a.{d}_sales / b.{d}_sales as {d}_ratio' for d in _D)}
   from a join b on b.s_store_id = a.s_store_id and b.d_week_seq = a.d_week_seq + 52""",
