@@ -142,3 +142,32 @@ def test_tree_grows_with_the_input(spark, docs):
     for code, q in got.items():
         symbols = np.frombuffer(code.to_bytes(6, "big"), np.uint8)
         assert math.isclose(tree.word_logp(symbols, np.array([5]))[0], q, abs_tol=1e-3), symbols.tobytes()
+
+
+def test_ftrl_equals_a_plain_loop():
+    """The update rule coordinate by coordinate, in plain Python."""
+    import math
+    import random
+    p = toxicity.Params(bits=6, passes=3, l1=0.4, l2=0.7, alpha=0.2, beta=1.5)
+    rng, bias = random.Random(8), 1 << 6
+    rows = [(np.array(sorted(rng.sample(range(64), 5)) + [bias]), rng.randint(0, 1)) for _ in range(40)]
+    z, n = [0.0] * (bias + 1), [0.0] * (bias + 1)
+
+    def weight(i):
+        l1 = 0.0 if i == bias else p.l1
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((p.beta + math.sqrt(n[i])) / p.alpha + p.l2)
+
+    order = np.random.Generator(np.random.PCG64(3))
+    for _ in range(p.passes):
+        for r in order.permutation(len(rows)):
+            at, y = rows[r]
+            w = {i: weight(i) for i in at}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - y
+            for i in at:
+                sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / p.alpha
+                z[i] += g - sigma * w[i]
+                n[i] += g * g
+    got = toxicity.fit(iter(rows), p)
+    assert np.allclose(got, [weight(i) for i in range(bias + 1)]) and 0 < np.count_nonzero(got) < bias
