@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.text import covered, let, lowered, read, whole
+from millrace.llm.text import covered, let, lowered, read, whole, without
 from millrace.session import materialized
 
 WINDOW, SHINGLE = 10, 5
@@ -125,10 +125,8 @@ def op6_decontaminate(spark, sf_dir: str) -> DataFrame:
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Documents without any occurring window, all columns kept; repeated rows stay repeated."""
     key = F.xxhash64("doc_id", "text")
-    bad = hits(docs.select("doc_id", "text", key.alias("_key")), items, carry=("doc_id", "_key")).where("n_hit > 0")
-    bad = bad.select(F.col("_key").alias("_bad_key"), F.col("doc_id").alias("_bad_id")).distinct()
-    on = (key == F.col("_bad_key")) & docs["doc_id"].eqNullSafe(F.col("_bad_id"))
-    return docs.join(bad, on, "left_anti")
+    bad = hits(docs.select("doc_id", "text", key.alias("key")), items, carry=("doc_id", "key")).where("n_hit > 0")
+    return without(docs, bad.select("key", "doc_id"))
 
 
 SQL_op6 = r"""

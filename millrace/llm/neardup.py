@@ -328,15 +328,36 @@ def op2_near_duplicates(spark, sf_dir: str) -> DataFrame:
                         (F.col("id") == F.col("component")).alias("kept"))
 
 
+def _named(docs: DataFrame) -> DataFrame:
+    """Rows ``id, text, d``: ids that stand for several texts are replaced by new ones below all others, one per text."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.xxhash64("text").alias("h"), F.struct("*").alias("d"))
+    several = rows.where("id is not null").groupBy("id").agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.min("id").alias("low")).where("lo < hi").select("id")
+    several = materialized(several)
+    if several.isEmpty():
+        return rows.select("id", F.col("d.text").alias("text"), "d")
+    least = F.least(rows.agg(F.min("id")).scalar(), F.lit(0))
+    pairs = rows.join(several, "id", "left_semi").select("id", "h").distinct()
+    pairs = materialized(pairs.select(F.col("id").alias("old"), F.col("h").alias("oh"), (least - 1 - F.monotonically_increasing_id()).alias("new")))
+    renamed = rows.join(pairs, (F.col("id") == F.col("old")) & (F.col("h") == F.col("oh")), "left")
+    return renamed.select(F.coalesce("new", "id").alias("id"), F.col("d.text").alias("text"), "d")
+
+
 def representatives(docs: DataFrame, params: Params = Params()) -> DataFrame:
-    """One document of each group, all columns kept; repeated rows of it count once."""
-    found = materialized(groups(docs, params=params))
-    dropped = found.where("id <> component").select(F.col("id").alias("_dropped")).distinct()
-    repeated = found.where("id is not null").groupBy(F.col("id").alias("_repeated")).count().where("count > 1").select("_repeated")
-    left = docs.join(dropped, F.col("doc_id") == F.col("_dropped"), "left_anti")
-    single = left.join(repeated, F.col("doc_id") == F.col("_repeated"), "left_anti")
-    several = left.join(repeated, F.col("doc_id") == F.col("_repeated"), "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(several)
+    """One document of each group, all columns kept, whatever their names.
+
+    Rows with one id and one text are one document: the first of them in the
+    order of their JSON form stays.  Rows with one id and different texts are
+    different documents.  Rows without id stay.
+    """
+    rows = _named(docs)
+    found = materialized(groups(rows, "id", "text", params=params))
+    dropped = found.where("id <> component").select(F.col("id").alias("other")).distinct()
+    repeated = materialized(found.where("id is not null").groupBy("id").count().where("count > 1").select(F.col("id").alias("again")))
+    left = rows.select("id", "d").join(dropped, F.col("id") == F.col("other"), "left_anti")
+    single = left.join(repeated, F.col("id") == F.col("again"), "left_anti").select("d")
+    several = left.join(repeated, F.col("id") == F.col("again"), "left_semi")
+    several = several.groupBy("id").agg(F.min_by("d", F.to_json("d")).alias("d")).select("d")
+    return single.unionByName(several).select(*[F.col("d").getField(c).alias(c) for c in docs.columns])
 
 
 SQL_op2 = r"""

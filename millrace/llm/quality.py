@@ -27,7 +27,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.text import BLANKS, blank_words, count_of, covered, let, read, stored, whole
+from millrace.llm.text import BLANKS, blank_words, count_of, covered, let, read, stored, whole, without
 from millrace.session import materialized
 
 REPEAT_WINDOW = 5
@@ -225,6 +225,4 @@ def kept(docs: DataFrame, labels: DataFrame) -> DataFrame:
     key = F.xxhash64("doc_id", "text")
     judged = stored(statistics(docs.select("doc_id", "text", key.alias("key")), keep=("doc_id", "key")), "quality")
     rules = learn(judged, labels)
-    bad = judged.where(base_failed() | rejects(rules).isNotNull()).select(
-        F.col("c_key").alias("_bad_key"), F.col("c_doc_id").alias("_bad_id")).distinct()
-    return docs.join(bad, (key == F.col("_bad_key")) & docs["doc_id"].eqNullSafe(F.col("_bad_id")), "left_anti")
+    return without(docs, judged.where(base_failed() | rejects(rules).isNotNull()).select("c_key", "c_doc_id"))

@@ -71,3 +71,11 @@ def small_batches(spark) -> None:
     """Bound what a Python worker gets at once."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+
+
+def without(docs: DataFrame, bad: DataFrame) -> DataFrame:
+    """Documents whose id and text are not among the ``bad`` pairs (xxhash64 of id and text, id); all columns kept, whatever their names."""
+    bad = bad.toDF("bad_key", "bad_id").distinct()
+    rows = docs.select(F.xxhash64("doc_id", "text").alias("own_key"), F.struct("*").alias("d"))
+    rows = rows.join(bad, (F.col("own_key") == F.col("bad_key")) & F.col("d.doc_id").eqNullSafe(F.col("bad_id")), "left_anti")
+    return rows.select(*[F.col("d").getField(c).alias(c) for c in docs.columns])

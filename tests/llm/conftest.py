@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 #: a column of each name that the operators use inside
 CLASHING = ("id", "row", "key", "c", "n", "h", "text2", "size", "spans", "n_words", "found", "component", "_w", "_t", "words", "held",
-            "host", "slots", "code", "block", "kind", "blob", "copy", "place", "rate", "conv", "at", "seq", "bad", "rep", "same")
+            "host", "slots", "code", "block", "kind", "blob", "copy", "place", "rate", "conv", "at", "seq", "bad", "rep", "same",
+            "_new", "_spans", "_found", "_key", "_dropped", "_bad_key", "d", "own_key", "part", "mask", "ids", "chunk", "pos", "c1")
 
 
 @pytest.fixture(scope="session")

@@ -56,6 +56,16 @@ def test_repeated_rows_and_rows_without_id(docs):
     assert [r.doc_id for r in kept] == [None, 3, 4]
 
 
+def test_an_id_with_several_texts_keeps_them_all(docs, wide):
+    words = [" ".join(f"{w}{i}" for i in range(60)) for w in "abc"]
+    rows = [(5, words[0]), (5, words[1]), (7, words[1] + " more"), (7, words[2]), (8, words[0]), (9, None), (9, ""), (9, ""), (None, words[0])]
+    kept = sorted((str(r.doc_id), r.text or "") for r in neardup.representatives(wide(docs(rows))).collect())
+    assert [x for x in kept if x[0] in ("9", "None")] == [("9", ""), ("9", ""), ("None", words[0])]
+    texts = [t for i, t in kept if i in ("5", "7", "8")]
+    # one of each group of texts that are alike, and nothing else is lost
+    assert len(texts) == 3 and words[2] in texts and words[0] in texts and (words[1] in texts) != (words[1] + " more" in texts)
+
+
 def test_no_documents(docs):
     assert neardup.groups(docs([])).collect() == []
 

@@ -36,6 +36,15 @@ def test_stages_keep_clean_documents_and_columns(spark, sf_dir, docs):
     assert {r.doc_id for r in mixed.collect()} <= {1, 4}
 
 
+def test_stages_take_columns_of_any_name(spark, sf_dir, docs, wide):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(40))) for i in range(3)] + [(4, None)]
+    for name, stage in corpus_pipeline.STAGES:
+        table = wide(docs(rows))
+        out = stage(spark, table, sf_dir)
+        assert set(out.columns) >= set(table.columns), name
+        assert {r.doc_id for r in out.collect()} >= ({0, 1, 2} if name != "mixed" else set()), name
+
+
 def test_empty_documents_pass_through(spark, sf_dir, docs):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs([]), sf_dir).collect() == []
