@@ -46,3 +46,22 @@ def test_rows_that_models_see_do_not_grow_with_copies(spark, sf_dir):
         train, test = learning.prepared_alike(Copies(spark, sf_dir, n), fold=learning.dealt(5, "l_orderkey", "l_linenumber"))
         sizes.append((train.count(), train.agg(F.sum("weight")).first()[0] + test.agg(F.sum("weight")).first()[0]))
     assert sizes[1][0] < 1.5 * sizes[0][0] and sizes[1][1] == 2 * sizes[0][1]
+
+
+def test_weighed_values_keep_squared_errors_and_splits(spark):
+    rows, gather = points(spark), features.assembled(["a", "b"], "features")
+    alike = gather.transform(features.weighed_values(rows, ["a", "b"], "worth"))
+    assert alike.count() <= 70
+    plain = models.boosted_regressor("worth", maxIter=3).fit(gather.transform(rows))
+    weighted = models.boosted_regressor("worth", maxIter=3, weightCol="weight").fit(alike)
+    errors = [RegressionEvaluator(labelCol="worth", metricName=m).evaluate(plain.transform(gather.transform(rows))) for m in ("rmse", "r2")]
+    scores = models.regression_scores(weighted.transform(alike), "worth", "weight")
+    assert [scores["rmse"], scores["r2"]] == pytest.approx(errors, rel=1e-9)
+
+
+def test_orders_that_are_alike_do_not_grow_with_copies(spark, sf_dir):
+    sizes = []
+    for n in (1, 3):
+        train, test = learning.price_rows_alike(Copies(spark, sf_dir, n), ["month", "lines"], 70)
+        sizes.append((train.count() + test.count(), train.agg(F.sum("weight")).first()[0] + test.agg(F.sum("weight")).first()[0]))
+    assert sizes[1][0] < 1.5 * sizes[0][0] and sizes[1][1] == 3 * sizes[0][1]
