@@ -6,7 +6,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.plans import governance, workload
+from millrace.plans import governance, jobs, workload
 from millrace.sinks import archive, folders, snapshots, writes
 from millrace.sources import files, keyed_logs
 
@@ -172,3 +172,11 @@ def test_job_sheet_of_many_files_has_its_header_given_once(spark, tmp_path):
     spark.createDataFrame([("p,d",), ("q,e,t",)], "value string").repartition(2).write.text(path)
     rows = files.job_config(spark, path, ["a", "b", "c"]).collect()
     assert sorted(tuple(r) for r in rows) == [("p", "d", ""), ("q", "e", "t")]
+
+
+def test_visits_are_parsed_once_and_attributes_stay_with_their_visitor(spark):
+    text = '<visits>\n  |<visitor id="1" sex="M" />\n  |<visitor age="30" sex="F" id=" 2" />\n|</visits>'
+    rows = spark.createDataFrame([("c", 1, "row-1", text), ("c", 2, "row-2", "<visits></visits>")], "county string, sid bigint, id string, visitors string")
+    out = jobs.visits(rows)
+    assert sorted(map(tuple, out.select("visitor_id", "visitor_sex", "visitor_age").collect())) == [(" 2", "F", 30), ("1", "M", None)]
+    assert "xpath" not in out._jdf.queryExecution().optimizedPlan().toString()
