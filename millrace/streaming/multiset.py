@@ -14,7 +14,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row, SparkSession, Window as W, functions as F
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from millrace.sinks import folders
@@ -33,27 +34,28 @@ class Counts(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.counts = handle.getMapState("counts", "value bigint", "n bigint")
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        # the events of one slot in one batch, in order
-        changed: dict[int, int] = {}
-        for r in sorted(rows, key=lambda r: r.at):
-            if r.value not in changed:
-                found = self.counts.containsKey((r.value,))
-                changed[r.value] = self.counts.getValue((r.value,))[0] if found else 0
-            changed[r.value] = max(changed[r.value] + r.step, 0)
-        for value, n in changed.items():
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        # the events of one slot in one batch, in order; those of a value are its sum and its lowest running sum
+        events = pd.concat([r[["value", "at", "step"]] for r in rows]).sort_values("at", kind="stable")
+        running = events.groupby("value", dropna=False)["step"].cumsum()
+        folded = events.assign(running=running).groupby("value", dropna=False).agg(total=("step", "sum"), low=("running", "min"))
+        for value, total, low in folded.itertuples(name=None):
+            value = None if pd.isna(value) else int(value)
+            found = self.counts.containsKey((value,))
+            n = self.counts.getValue((value,))[0] if found else 0
+            n += int(total) - min(n + int(low), 0)
             if n:
                 self.counts.updateValue((value,), (n,))
-            elif self.counts.containsKey((value,)):
+            elif found:
                 self.counts.removeKey((value,))
         held = sorted((k[0], v[0]) for k, v in self.counts.iterator())
-        yield Row(key=key[0], slot=key[1], size=sum(n for _, n in held), counts=[Row(value=v, n=n) for v, n in held])
+        yield pd.DataFrame({"key": [key[0]], "slot": [key[1]], "size": [sum(n for _, n in held)], "counts": [[{"value": v, "n": n} for v, n in held]]})
 
 
 def touched(events: DataFrame, width: int = WIDTH) -> DataFrame:
     """Slots that a batch of ``key, value, at, step`` events touched, with all they hold; ``step`` is +1 or -1."""
     slotted = events.select("key", F.floor(F.col("value") / width).alias("slot"), "value", "at", "step")
-    return slotted.groupBy("key", "slot").transformWithState(Counts(), TOUCHED, "Update", "None")
+    return slotted.groupBy("key", "slot").transformWithStateInPandas(Counts(), TOUCHED, "Update", "None")
 
 
 def _slots(spark: SparkSession, path: str, batch: int) -> DataFrame:

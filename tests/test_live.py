@@ -8,6 +8,7 @@ import tempfile
 import time
 from collections import Counter
 
+import pandas as pd
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -49,6 +50,44 @@ def plain_multisets(rows):
     return left, medians
 
 
+class FakeState(dict):
+    """A map state that counts its updates."""
+    updates = 0
+
+    def getValue(self, key):
+        return self[key]
+
+    containsKey = dict.__contains__
+
+    def updateValue(self, key, value):
+        self.updates += 1
+        self[key] = value
+
+    def removeKey(self, key):
+        del self[key]
+
+    def iterator(self):
+        return iter(self.items())
+
+
+def test_events_of_a_slot_are_folded_as_batches():
+    # a hot value is one state update a batch, however many events it has and however they are dealt
+    counts = multiset.Counts()
+    counts.counts = FakeState({(3,): (1,), (4,): (2,)})
+    rows = pd.DataFrame([(3, i, -1 if i % 3 == 0 else 1) for i in range(5000)] + [(4, 5000 + i, -1) for i in range(5)], columns=["value", "at", "step"]).sample(frac=1, random_state=7)
+    out = list(counts.handleInputRows(("a", 0), iter([rows[:2000], rows[2000:]]), None))[0]
+    n = 1
+    for i in range(5000):
+        n = max(n + (-1 if i % 3 == 0 else 1), 0)
+    assert out["counts"][0] == [{"value": 3, "n": n}] and out["size"][0] == n and counts.counts.updates == 1
+
+
+def test_null_values_do_not_stop_the_stream(spark, folder):
+    spark.createDataFrame([("a", None, i, 1) for i in range(3)] + [("a", 1, 3, 1)], EVENTS).write.parquet(folder + "/in")
+    drain(multiset.start_multisets(spark.readStream.schema(EVENTS).parquet(folder + "/in"), folder + "/out", folder + "/check"))
+    assert {(r.key, r.value): r.n for r in multiset.current(spark, folder + "/out", 0).collect()}[("a", 1)] == 1
+
+
 @pytest.mark.parametrize("batches", [1, 4])
 def test_multisets_equal_a_plain_fold_after_every_restart(spark, folder, batches):
     rng = random.Random(7)
