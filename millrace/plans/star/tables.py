@@ -47,14 +47,14 @@ class Star:
         return cls(spark, lambda name: spark.read.parquet(f"{path}/{name}"))
 
     @classmethod
-    def bucketed(cls, spark: SparkSession, prefix: str) -> "Star":
-        """Tables of the catalog as ``save_bucketed_star`` names them.
+    def bucketed(cls, spark: SparkSession, prefix: str, names: tuple[str, ...] = TABLES, rest: "Star | None" = None) -> "Star":
+        """Tables of the catalog as ``save_bucketed_star`` names them; those not among ``names`` are taken from ``rest``.
 
         A join on order, item and one more key also goes without a shuffle of
         tables that are bucketed by order and item.
         """
         spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-        return cls(spark, lambda name: spark.table(prefix + name))
+        return cls(spark, lambda name: spark.table(prefix + name) if rest is None or name in names else rest.table(name))
 
     @classmethod
     def derived(cls, spark: SparkSession, sf_dir: str) -> "Star":

@@ -100,17 +100,22 @@ FACT_BUCKETS = {"store_sales": ("ss_ticket_number", "ss_item_sk"), "store_return
                 "web_sales": ("ws_order_number", "ws_item_sk"), "web_returns": ("wr_order_number", "wr_item_sk")}
 
 
-def save_bucketed_star(star, path: str, prefix: str, names: tuple[str, ...], buckets: int) -> None:
+def save_bucketed_star(star, path: str, prefix: str, names: tuple[str, ...], buckets: int,
+                       columns: dict[str, tuple[str, ...]] | None = None) -> None:
     """Store tables of a star for ``Star.bucketed``: sales and returns bucketed and sorted by order and item.
 
+    ``columns`` names those that readers of the stored star need; tables it does not name have all.
+
     All fact tables have the same number of buckets, one file each, so a sale
     and its return are in buckets of one number and their joins need no shuffle.
     """
     for name in names:
-        writer, keys = star.table(name).write, FACT_BUCKETS.get(name)
+        rows, keys = star.table(name), FACT_BUCKETS.get(name)
+        rows = rows.select(*columns[name]) if columns and name in columns else rows
+        writer = rows.write
         if keys:
             # the shuffle deals rows as buckets do
-            writer = star.table(name).repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+            writer = rows.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
         writer.mode("overwrite").option("path", f"{path}/{name}").saveAsTable(prefix + name)
 
 

@@ -95,3 +95,13 @@ def test_scans_read_only_what_a_report_needs(spark, sf_dir):
     text = plan(REPORTS["q3"](Star.derived(spark, sf_dir)))
     scans = [line for line in text.splitlines() if "ReadSchema" in line]
     assert any("l_partkey" in s and "l_returnflag" not in s for s in scans)
+
+
+@pytest.mark.parametrize("name", ["q25", "q93"])
+def test_stored_stars_hold_what_their_report_joins_by_order_and_item(spark, sf_dir, name):
+    import __spark_entry__ as entry
+    star = entry._STORED[name](spark, sf_dir)
+    derived = entry._open(entry.Star.derived, spark, sf_dir)
+    for table, columns in entry.BUCKETED[name].items():
+        assert star.table(table).columns == list(columns) and star.table(table).count() == derived.table(table).count()
+    assert star.item is derived.item and star.catalog_sales is derived.catalog_sales
