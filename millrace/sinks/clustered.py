@@ -46,10 +46,35 @@ def along_curve(x: Column, y: Column, bits: int = BITS) -> Column:
     return F.aggregate(sizes, start, step, lambda acc: acc["at"])
 
 
+def _places(bits: int) -> list[int]:
+    """Places of all cells on the Hilbert curve, by ``x`` and then ``y``, built up from the curve of half the side."""
+    if bits == 0:
+        return [0]
+    inner, half = _places(bits - 1), 1 << (bits - 1)
+    last, cells, out = half - 1, half * half, []
+    for x in range(2 * half):
+        for y in range(2 * half):
+            a, b = x % half, y % half
+            if y >= half:
+                quadrant = 2 if x >= half else 1
+            else:
+                quadrant, (a, b) = (3, (last - b, last - a)) if x >= half else (0, (b, a))
+            out.append(cells * quadrant + inner[a * half + b])
+    return out
+
+
+def along_known_curve(x: Column, y: Column, bits: int = BITS) -> Column:
+    """:func:`along_curve` looked up in one array of all cells, for grids of a few thousand cells."""
+    places = F.split(F.lit(",".join(map(str, _places(bits)))), ",").cast("array<bigint>")
+    return F.get(places, (F.shiftleft(x.cast("int"), bits) + y.cast("int")))
+
+
 def curve_place(df: DataFrame, columns: list[str], bits: int = BITS) -> Column:
     """Place of a row on the curve over some columns; null counts as before all values."""
     numbers = [F.coalesce(slot_of(F.col(c), cut_points(df, c, 1 << bits)), F.lit(0)) for c in columns]
-    return along_curve(*numbers, bits) if len(numbers) == 2 else interleaved(numbers, bits)
+    if len(numbers) != 2:
+        return interleaved(numbers, bits)
+    return along_known_curve(*numbers, bits) if bits <= BITS else along_curve(*numbers, bits)
 
 
 def write_clustered(df: DataFrame, columns: list[str], files: int, path: str, bits: int = BITS) -> None:

@@ -182,3 +182,12 @@ def test_cube_counts_null_keys_under_all(spark):
               "show_cnt int, click_cost_pv int, click_pv int")
     out = funnel_cube(spark.createDataFrame([user], schema)).collect()
     assert len(out) == 8 and {r["nation"] for r in out} == {"all"} and {r["users"] for r in out} == {2}
+
+
+def test_places_of_cells_are_those_of_the_curve(spark):
+    from millrace.sinks import clustered
+    for bits in (1, 3, 6):
+        side = 1 << bits
+        cells = spark.range(side * side).select((F.col("id") / side).cast("int").alias("x"), (F.col("id") % side).cast("int").alias("y"))
+        placed = cells.select(clustered.along_curve(F.col("x"), F.col("y"), bits).alias("a"), clustered.along_known_curve(F.col("x"), F.col("y"), bits).alias("b"))
+        assert placed.where("a <> b or b is null").isEmpty() and placed.select("b").distinct().count() == side * side
