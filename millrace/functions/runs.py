@@ -6,7 +6,9 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.functions import arrow_udtf, col
+from pyspark.sql.functions import arrow_udtf, col, lit, pmod, xxhash64
+
+from millrace.session import shuffle_parts
 
 RUNS = "user_id bigint, event_type string, first_event bigint, last_event bigint, events bigint, gap_seconds double"
 
@@ -20,10 +22,10 @@ class EventRuns:
     """
 
     def __init__(self):
-        self.open: list | None = None  # user, kind, first, last, events, time of the first and of the last
+        self.open: list | None = None  # user, kind, first, last, events, time of the first and of the last, day
 
     def _row(self) -> tuple:
-        user, kind, first, last, n, began, at = self.open
+        user, kind, first, last, n, began, at, _ = self.open
         return user, kind, first, last, n, (at - began) / (n - 1) if n > 1 else None
 
     @staticmethod
@@ -34,14 +36,14 @@ class EventRuns:
 
     def eval(self, rows: pa.RecordBatch) -> Iterator[pa.Table]:
         out = []
-        for user, kind, event, at in zip(*(rows.column(c).to_pylist() for c in ("user_id", "event_type", "event_id", "at"))):
+        for user, day, kind, event, at in zip(*(rows.column(c).to_pylist() for c in ("user_id", "day", "event_type", "event_id", "at"))):
             run = self.open
-            if run is not None and run[1] == kind and (run[4] == 1 or at - run[6] <= 3 * (run[6] - run[5]) / (run[4] - 1)):
+            if run is not None and run[0] == user and run[7] == day and run[1] == kind and (run[4] == 1 or at - run[6] <= 3 * (run[6] - run[5]) / (run[4] - 1)):
                 run[3], run[4], run[6] = event, run[4] + 1, at
                 continue
             if run is not None:
                 out.append(self._row())
-            self.open = [user, kind, event, event, 1, at, at]
+            self.open = [user, kind, event, event, 1, at, at, day]
         if out:
             yield self._table(out)
 
@@ -53,6 +55,9 @@ class EventRuns:
 def event_runs(events: DataFrame) -> DataFrame:
     """A row per run of ``user_id, day, event_type, event_id, at`` (seconds), in order of time; only the open run is held.
 
-    Runs end with the day, so a user with very many events is many groups.
+    Runs end with the day, so a user with very many events is many groups.  Many users and days are dealt to one call of
+    the function, a few per task, and come one after the other; a call for each would cost more than its few events.
     """
-    return EventRuns(events.asTable().partitionBy("user_id", "day").orderBy(col("at"), col("event_id")))
+    bucket = pmod(xxhash64("user_id", "day"), lit(4 * shuffle_parts(events.sparkSession)))
+    return EventRuns(events.withColumn("bucket", bucket).asTable().partitionBy("bucket").orderBy(
+        col("user_id"), col("day"), col("at"), col("event_id")))

@@ -191,3 +191,17 @@ def test_places_of_cells_are_those_of_the_curve(spark):
         cells = spark.range(side * side).select((F.col("id") / side).cast("int").alias("x"), (F.col("id") % side).cast("int").alias("y"))
         placed = cells.select(clustered.along_curve(F.col("x"), F.col("y"), bits).alias("a"), clustered.along_known_curve(F.col("x"), F.col("y"), bits).alias("b"))
         assert placed.where("a <> b or b is null").isEmpty() and placed.select("b").distinct().count() == side * side
+
+
+def test_runs_of_many_users_and_days_share_a_call(spark):
+    import pyarrow as pa
+
+    from millrace.functions import runs
+    rows = spark.createDataFrame([(u, d, "view", 100 * u + 10 * d + i, float(i)) for u in (1, 2) for d in range(3) for i in range(2)],
+                                 "user_id bigint, day int, event_type string, event_id bigint, at double")
+    out = sorted((r.user_id, r.first_event, r.last_event, r.events, r.gap_seconds) for r in runs.event_runs(rows).collect())
+    assert out == [(u, 100 * u + 10 * d, 100 * u + 10 * d + 1, 2, 1.0) for u in (1, 2) for d in range(3)]
+    # one call keeps the users and days of its rows apart
+    call = runs.EventRuns.func()
+    tables = [*call.eval(pa.RecordBatch.from_pylist([{"user_id": u, "day": d, "event_type": "view", "event_id": 10 * u + d, "at": 0.0} for u in (1, 2) for d in (1, 2)])), *call.terminate()]
+    assert sum(t.num_rows for t in tables) == 4
