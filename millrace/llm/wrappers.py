@@ -22,9 +22,9 @@ nearly all distinct pages of a layout is part of the template.
 
 Trees are worked off with lists of what is to do, so elements may be nested to any
 depth.  Words of classes and ids that few pages have are dropped from names, so a wrapper does not grow with the titles
-of articles.  Trees are reduced before they move: a task sends one partial wrapper per layout,
+of articles.  A page is parsed once, and its parts are stored.  Trees are reduced before they move: a task sends one partial wrapper per layout,
 and partial wrappers are merged in two steps, so a host with very many pages
-is many small groups.
+is many small groups.  Where slots may be template, all pages are matched, and the distinct ones with the slot are counted.
 
 Defined cases: null and empty pages have an empty text; pages without url are a
 host of their own; a layout with one page has only its marks to go by; tags that
@@ -34,6 +34,7 @@ give no rows; other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -46,7 +47,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.text import read, small_batches
+from millrace.llm.text import read, small_batches, stored
 from millrace.session import shuffle_parts
 
 # fixed values of the markup language
@@ -111,8 +112,8 @@ Part = tuple[Step | None, str, int]
 class Node:
     """A block element of a page or of a wrapper; a slot has no children and the name ``#``.
 
-    ``pages`` counts the pages that have it.  ``stats`` of a slot: pages, characters, characters in links, some texts and a
-    sample of the distinct pages as hashes; the root has those of all pages; ``parts``: numbers of the blocks of a page that stand in it.
+    ``pages`` counts the pages that have it.  ``stats`` of a slot: characters, characters in links, the least and the greatest hash
+    of its text on a page (equal: it never differs); the root has those of whole pages; ``parts``: numbers of the blocks of a page that stand in it.
     """
 
     name: str
@@ -235,8 +236,8 @@ def _crc(text: str, start: int = 0) -> int:
 
 def tree(parts: list[Part]) -> Node:
     """Tree of a page's block elements and slots, equal neighbours merged."""
-    own = _crc("\n".join(text for _, text, _ in parts))
-    root = Node("", stats=[1, 0, 0, [0], [own]])
+    own = _crc("\n".join([text for _, text, _ in parts if text]))
+    root = Node("", stats=[0, 0, own, own])
     at: dict[int, Node] = {id(None): root}
     order = []
     for i, (step, text, linked) in enumerate(parts):
@@ -247,14 +248,15 @@ def tree(parts: list[Part]) -> Node:
             continue
         here = at[id(step)].children
         if not here or here[-1].name != "#":
-            here.append(Node("#", stats=[1, 0, 0, [0], [own]]))
+            here.append(Node("#", stats=[0, 0, 0, 0]))
         stats = here[-1].stats
-        stats[1] += len(text)
-        stats[2] += linked
-        stats[3] = [_crc(text, stats[3][0])]
+        stats[0] += len(text)
+        stats[1] += linked
+        stats[2] = stats[3] = _crc(text, stats[2])
         here[-1].parts.append(i)
     for node in reversed(order):  # what an element holds comes after it
-        node.children = _groups(node.children, True)
+        if len(node.children) > 1:
+            node.children = _groups(node.children, True)
     root.children = _groups(root.children, True)
     return root
 
@@ -263,19 +265,40 @@ def tree(parts: list[Part]) -> Node:
 APART = 3
 #: pages after which a name must be on a tenth of an element's pages to keep words that say nothing of its place
 KNOWN, SHARE = 16, 10
-#: texts of a slot that are told apart; more do not change what is extracted
-DISTINCT = 4
-#: distinct pages in a sample, those with the smallest hashes: a slot's sample holds all of the root's pages that have the slot
-SAMPLE = 32
+#: distinct pages that a slot must be on to be template
+LEAST = 4
 
 
 def _merged_stats(a: Node, b: Node, one_page: bool) -> list | None:
     if not (a.stats and b.stats):
         return a.stats or b.stats
-    (n, chars, linked, texts, pages), (m, more, links, others, different) = a.stats, b.stats
+    (chars, linked, least, greatest), (more, links, low, high) = a.stats, b.stats
     if one_page:
-        return [1, chars + more, linked + links, [zlib.crc32(others[0].to_bytes(4, "big"), texts[0])], pages]
-    return [n + m, chars + more, linked + links, sorted({*texts, *others})[:DISTINCT], pages if pages == different else sorted({*pages, *different})[:SAMPLE]]
+        least = greatest = zlib.crc32(low.to_bytes(4, "big"), least)
+        return [chars + more, linked + links, least, greatest]
+    return [chars + more, linked + links, min(least, low), max(greatest, high)]
+
+
+@lru_cache(maxsize=1 << 12)
+def _stay(names: tuple[str, ...]) -> bool:
+    """Whether no siblings of these names come together."""
+    return _places(list(names)) == list(range(len(names)))
+
+
+def _twins(a: Node, b: Node) -> list[tuple[Node, Node]] | None:
+    """The pairs of nodes of two expressions of one form, none if the forms differ."""
+    pairs = [(a, b)]
+    for x, y in pairs:  # grows as it goes
+        left, right = x.children, y.children
+        if len(left) != len(right):
+            return None
+        for c, d in zip(left, right):
+            if c.name != d.name:
+                return None
+            pairs.append((c, d))
+        if len(left) > 1 and not _stay(tuple([c.name for c in left])):
+            return None
+    return pairs
 
 
 def aligned(a: Node, b: Node, one_page: bool = False) -> Node:
@@ -283,10 +306,22 @@ def aligned(a: Node, b: Node, one_page: bool = False) -> Node:
 
     Children that match are aligned in turn, the rest is optional, and neighbours of a name are a repeated group.
     Pairs wait in a list, so trees may be of any depth; a group is put together after the pairs inside of it are known.
+    The nodes given are used up.  Only the slots of a single page keep the numbers of their parts.
     """
     def joined(x: Node, y: Node) -> Node:
         pages = max(x.pages, y.pages) if one_page else x.pages + y.pages
-        return Node(x.name, [], x.many or y.many, x.maybe or y.maybe, _merged_stats(x, y, one_page), x.parts + y.parts, pages)
+        return Node(x.name, [], x.many or y.many, x.maybe or y.maybe, _merged_stats(x, y, one_page), x.parts + y.parts if one_page else [], pages)
+
+    twins = _twins(a, b)
+    if twins:
+        for x, y in twins:
+            x.many, x.maybe, x.stats = x.many or y.many, x.maybe or y.maybe, _merged_stats(x, y, one_page)
+            x.pages = max(x.pages, y.pages) if one_page else x.pages + y.pages
+            if one_page:
+                x.parts += y.parts
+            else:
+                x.parts = []
+        return a
 
     top = joined(a, b)
     todo = [(top, a.children, b.children)]
@@ -442,6 +477,7 @@ class Wrapper:
     """Expression of pages; its slots hold what the pages have in them."""
 
     root: Node | None = None
+    known: tuple[dict[int, int], list[int]] | None = None
 
     def add(self, parts: list[Part]) -> None:
         self._align(tree(parts))
@@ -451,9 +487,9 @@ class Wrapper:
             self._align(other.root)
 
     def _align(self, root: Node) -> None:
+        more, self.known = root.pages, None
         self.root = aligned(self.root, root) if self.root else root
-        self.root.parts = []
-        if self.root.pages >= KNOWN and self.root.pages // KNOWN != (self.root.pages - root.pages) // KNOWN:
+        if self.root.pages >= KNOWN and self.root.pages // KNOWN != (self.root.pages - more) // KNOWN:
             generalised(self.root)
 
     def dump(self) -> str:
@@ -498,35 +534,36 @@ class Wrapper:
         """The slots in order."""
         return [n for n, _, _ in self.nodes() if n.name == "#"]
 
-    def keys(self) -> list[int]:
-        """Key of the path of each slot, as steps have it."""
-        at: list[int] = []
-        out = []
-        for node, up, _ in self.nodes():
-            around = at[up] if up >= 0 else 0
-            at.append(around if node.name == "#" else _crc(node.name, around))
-            if node.name == "#":
-                out.append(around)
-        return out
-
-    def template(self) -> set[int]:
-        """Numbers of the slots outside articles and main elements that have one text on nearly all distinct pages."""
-        pages = set(self.root.stats[4]) if self.root else set()
-        out, number, marked = set(), 0, []
+    def places(self) -> tuple[dict[int, int], list[int]]:
+        """Number of each slot by its identity, and key of the path of each slot, as steps have it; kept until a page is added."""
+        if self.known is None:
+            at: list[int] = []
+            numbers, keys = {}, []
+            for node, up, _ in self.nodes():
+                around = at[up] if up >= 0 else 0
+                at.append(around if node.name == "#" else _crc(node.name, around))
+                if node.name == "#":
+                    numbers[id(node)] = len(keys)
+                    keys.append(around)
+            self.known = numbers, keys
+        return self.known
+
+    def constant(self) -> list[int]:
+        """Numbers of the slots outside articles and main elements whose text never differs."""
+        out, number, marked = [], 0, []
         for node, up, _ in self.nodes():
             inside = up >= 0 and marked[up]
             marked.append(inside or _is_article(node.name) or _is_main(node.name))
             if node.name == "#":
-                on = len(pages.intersection(node.stats[4]))
-                if not inside and len(node.stats[3]) == 1 and on >= DISTINCT and 10 * on >= 9 * len(pages):
-                    out.add(number)
+                if not inside and not _varies(node):
+                    out.append(number)
                 number += 1
         return out
 
-    def main(self) -> list[int]:
-        """Numbers of the slots that hold the main text."""
-        nodes, template = self.nodes(), self.template()
-        several = bool(self.root) and len(self.root.stats[4]) > 1
+    def main(self, template: frozenset[int] | set[int] = frozenset()) -> list[int]:
+        """Numbers of the slots that hold the main text; those of the template don't."""
+        nodes = self.nodes()
+        several = bool(self.root) and _varies(self.root)
         holds, menus = _holds(nodes), _like_menus(nodes, several)
         numbers: dict[int, int] = {}
         for i, (node, _, _) in enumerate(nodes):
@@ -544,7 +581,7 @@ class Wrapper:
                     in_article = in_article or _is_article(name)
                 apart.append((gone, in_article))
             more = [i for i in numbers if numbers[i] not in template and not apart[i][0]]
-            mass_ = sum(max(x[1] - 2 * x[2], 0) for i in more for x in [nodes[i][0].stats] if not several or len(x[3]) > 1)
+            mass_ = sum(max(x.stats[0] - 2 * x.stats[1], 0) for x in (nodes[i][0] for i in more) if not several or _varies(x))
             if had < 0 or mass_ > 10 * had:
                 open_, had = more, mass_
         for wanted in (_is_article, _is_main):
@@ -556,7 +593,7 @@ class Wrapper:
                 return below
         mass: dict[int, float] = {}
         for i in open_:
-            _, chars, linked, *_ = nodes[i][0].stats
+            chars, linked, *_ = nodes[i][0].stats
             at, share = nodes[i][1], 0.5  # text counts less for an element the deeper it stands; far ones get next to nothing
             if at < 0:
                 mass[-1] = mass.get(-1, 0) + max(chars - 2 * linked, 0) * share
@@ -570,27 +607,37 @@ class Wrapper:
         most = max(mass.values())
         top = next(x for x in mass if mass[x] == most)
         last = nodes[top][2] if top >= 0 else len(nodes)
-        return [numbers[i] for i in open_ if (top < i <= last if top >= 0 else nodes[i][1] < 0) and 2 * nodes[i][0].stats[2] <= nodes[i][0].stats[1]]
+        return [numbers[i] for i in open_ if (top < i <= last if top >= 0 else nodes[i][1] < 0) and 2 * nodes[i][0].stats[1] <= nodes[i][0].stats[0]]
 
 
 #: elements around a text that get a share of its mass; further ones would get less than a millionth
 FAR = 64
 
 
+def _varies(node: Node) -> bool:
+    """Whether the text of a slot differs between pages."""
+    return node.stats[2] != node.stats[3]
+
+
+def template(on: dict[int, int], pages: int) -> set[int]:
+    """Slots that are on nearly all distinct pages, of those whose text never differs."""
+    return {slot for slot, n in on.items() if n >= LEAST and 10 * n >= 9 * pages}
+
+
 def held(wrapper: Wrapper, parts: list[Part]) -> dict[int, int]:
     """Numbers of the slots in which the parts of a page stand."""
-    number = {id(slot): i for i, slot in enumerate(wrapper.slots)}
+    number, _ = wrapper.places()
     return {k: number[id(y)] for x, y in matched(tree(parts), wrapper.root) for k in x.parts} if wrapper.root else {}
 
 
-def main_text(parts: list[Part], wrapper: Wrapper, wanted: set[int]) -> str:
-    """Texts of a page in the wanted slots; a page that has none of them is decided by itself."""
-    slots, keys = held(wrapper, parts), wrapper.keys()
+def main_text(parts: list[Part], wrapper: Wrapper, wanted: set[int], constant: frozenset[int] | set[int] = frozenset()) -> str:
+    """Texts of a page in the wanted slots; a page that has none of them is decided by itself, without the ``constant`` ones of its template."""
+    slots, keys = held(wrapper, parts), wrapper.places()[1]
     known = {keys[i] for i in wanted}  # of parts that no alignment has a place for
     use = [text for k, (step, text, _) in enumerate(parts) if text and (slots[k] in wanted if k in slots else _path(step)[0] in known)]
     if not use:
-        own, template = Wrapper(), wrapper.template()
-        parts = [x for k, x in enumerate(parts) if slots.get(k) not in template]
+        own = Wrapper()
+        parts = [x for k, x in enumerate(parts) if slots.get(k) not in constant]
         own.add(parts)
         slots, wanted = held(own, parts), set(own.main())
         use = [text for k, (_, text, _) in enumerate(parts) if slots.get(k) in wanted]
@@ -641,7 +688,7 @@ def _like_menus(nodes: list[tuple[Node, int, int]], several: bool) -> list[bool]
     for i in range(len(nodes) - 1, -1, -1):
         node, up, _ = nodes[i]
         if node.name == "#":
-            sums[i] = [node.stats[1], node.stats[2], len(node.stats[3]) > 1]
+            sums[i] = [node.stats[0], node.stats[1], _varies(node)]
         if up >= 0:
             sums[up] = [sums[up][0] + sums[i][0], sums[up][1] + sums[i][1], sums[up][2] or sums[i][2]]
     return [2 * linked >= chars or several and not varies for chars, linked, varies in sums]
@@ -689,32 +736,54 @@ def _is_main(step: str) -> bool:
     return tag == "main" or tag not in ("body", "html") and bool(MAIN_WORDS.intersection(words))
 
 
-def packed(parts: list[Part]) -> str:
-    """Parts of a page as text: the names of its elements with the number of the one around, and each part with that of its element."""
+def packed(parts: list[Part]) -> tuple[str, list[str]]:
+    """Parts of a page as its frame and its texts.
+
+    The frame has the name of each element with the number of the one around, what each part is (-2: the next element, else a text
+    by the number of its element) and the characters in links.
+    """
     number: dict[int, int] = {id(None): -1}
-    steps, out = [], []
+    steps, order, links, texts = [], [], [], []
     for step, text, linked in parts:
-        if not text:
+        if text:
+            order.append(number[id(step)])
+            links.append(linked)
+            texts.append(text)
+        else:
             number[id(step)] = len(steps)
             steps.append([number[id(step.up)], step.name])
-        out.append([number[id(step)], text, linked])
-    return json.dumps([steps, out], ensure_ascii=False, separators=(",", ":"))
+            order.append(-2)
+    return json.dumps([steps, order, links], ensure_ascii=False, separators=(",", ":")), texts
 
 
-def unpacked(text: str) -> list[Part]:
-    names, parts = json.loads(text)
+def unpacked(frame: str, texts: list[str] | None = None) -> list[Part]:
+    """Parts of a page; without texts each one is a dash."""
+    names, order, links = json.loads(frame)
     steps: list[Step] = []
-    for up, name in names:
-        steps.append(Step(name, steps[up] if up >= 0 else None))
-    return [(steps[i] if i >= 0 else None, t, n) for i, t, n in parts]
+    out: list[Part] = []
+    known = zip(texts or ["-"] * len(links), links)
+    for i in order:
+        if i == -2:
+            up, name = names[len(steps)]
+            steps.append(Step(name, steps[up] if up >= 0 else None))
+            out.append((steps[-1], "", 0))
+        else:
+            out.append((steps[i] if i >= 0 else None, *next(known)))
+    return out
 
 
-_PARTIAL = "host string, layout bigint, salt int, wrapper string"
+@lru_cache(maxsize=256)
+def _loaded(text: str) -> Wrapper:
+    return Wrapper.load(text)
+
 
+def _table(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-def _row(host, key, salt, wrapper: Wrapper) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([host], pa.string()), pa.array([key], pa.int64()), pa.array([salt], pa.int32()),
-                                       pa.array([wrapper.dump()])], ["host", "layout", "salt", "wrapper"])
+
+_PARTIAL = "host string, layout bigint, salt int, wrapper string"
+_PARTIAL_ROW = pa.schema([("host", pa.string()), ("layout", pa.int64()), ("salt", pa.int32()), ("wrapper", pa.string())])
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -724,39 +793,95 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for *key, text in zip(*(c.to_pylist() for c in batch.columns)):
             if key != at:
                 if wrapper is not None:
-                    yield _row(*at, wrapper)
+                    yield _table(_PARTIAL_ROW, [(*at, wrapper.dump())])
                 at, wrapper = key, Wrapper()
             wrapper.merge(Wrapper.load(text))
     if wrapper is not None:
-        yield _row(*at, wrapper)
+        yield _table(_PARTIAL_ROW, [(*at, wrapper.dump())])
+
 
+_APART = "page_id bigint, url string, host string, layout bigint, own binary, frame string, texts array<string>, salt int, wrapper string"
+_APART_ROW = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("layout", pa.int64()), ("own", pa.binary()),
+                        ("frame", pa.string()), ("texts", pa.list_(pa.string())), ("salt", pa.int32()), ("wrapper", pa.string())])
 
-def wrappers(pages: DataFrame) -> DataFrame:
-    """Rows ``host, layout, wrapper, slots`` (numbers of the slots of the main text) of ``host, html`` rows."""
+
+def taken_apart(pages: DataFrame) -> DataFrame:
+    """``page_id, url, host, html`` rows as stored rows of frame, texts and ``own``, a hash of all texts; and a row per task, host and layout with the wrapper of its pages."""
     salts = shuffle_parts(pages.sparkSession)
 
-    def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One partial wrapper per host and layout for the pages of a task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[tuple, Wrapper] = {}
         for batch in batches:
-            for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                parts = list(blocks(page))
-                known.setdefault((host, layout(parts)), Wrapper()).add(parts)
-        for key, wrapper in known.items():
-            yield _row(*key, _crc(wrapper.dump()) % salts, wrapper)
+            rows = []
+            for page_id, url, host, source in zip(*(c.to_pylist() for c in batch.columns)):
+                parts = list(blocks(source))
+                key = layout(parts)
+                frame, texts = packed(parts)
+                own = hashlib.blake2b("\n".join(texts).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                rows.append((page_id, url, host, key, own, frame, texts, None, None))
+                known.setdefault((host, key), Wrapper()).add(parts)
+            yield _table(_APART_ROW, rows)
+        for (host, key), wrapper in known.items():
+            text = wrapper.dump()
+            yield _table(_APART_ROW, [(None, None, host, key, None, None, None, _crc(text) % salts, text)])
+
+    return stored(pages.select("page_id", "url", "host", "html").mapInArrow(run, _APART), "pages")
+
+
+_LEARNED = "host string, layout bigint, wrapper string, constant array<int>"
+_LEARNED_ROW = pa.schema([("host", pa.string()), ("layout", pa.int64()), ("wrapper", pa.string()), ("constant", pa.list_(pa.int32()))])
 
-    parts = pages.select("host", "html").mapInArrow(learned, _PARTIAL)
+
+def wrappers(parts: DataFrame) -> DataFrame:
+    """Stored rows ``host, layout, wrapper, constant`` (numbers of the slots that may be template) of partial wrappers."""
     keys = ["host", "layout", "salt"]
     for salt in (F.col("salt"), F.lit(0)):
         parts = parts.withColumn("salt", salt.cast("int")).repartition(*keys).sortWithinPartitions(*keys, "wrapper")
         parts = parts.mapInArrow(_merged, _PARTIAL)
 
-    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _table(_LEARNED_ROW, [(*row, Wrapper.load(row[2]).constant()) for row in zip(*(c.to_pylist() for c in batch.columns))])
+
+    return stored(parts.select("host", "layout", "wrapper").mapInArrow(run, _LEARNED), "wrappers", "uncompressed")
+
+
+_DECIDED = "host string, layout bigint, wrapper string, slots array<int>, template array<int>"
+_DECIDED_ROW = pa.schema([("host", pa.string()), ("layout", pa.int64()), ("wrapper", pa.string()), ("slots", pa.list_(pa.int32())),
+                          ("template", pa.list_(pa.int32()))])
+
+
+def decided(pages: DataFrame, learned: DataFrame) -> DataFrame:
+    """Stored rows ``host, layout, wrapper, slots, template``: the slots of the main text, and those of the template.
+
+    The distinct pages (by their texts) of a layout, and those on which a constant slot is found, are all counted.
+    """
+    keys = ["host", "layout"]
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for frame, text, constant in zip(*(batch.column(i).to_pylist() for i in (3, 4, 5))):
+                slots = {*held(_loaded(text), unpacked(frame)).values()}
+                out.append([-1, *(k for k in constant if k in slots)])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.list_(pa.int32()))], ["host", "layout", "own", "slots"])
+
+    asked = pages.join(learned.where(F.size("constant") > 0), keys).select(*keys, "own", "frame", "wrapper", "constant")
+    on = asked.mapInArrow(found, "host string, layout bigint, own binary, slots array<int>").withColumn("slot", F.explode("slots"))
+    on = on.groupBy(*keys, "slot").agg(F.count_distinct("own").alias("n"))
+    on = on.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("slot", "n"))).alias("counts"))  # at most one item per slot
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [Wrapper.load(x).main() for x in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int32()))], ["host", "layout", "wrapper", "slots"])
+            rows = []
+            for host, key, text, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                numbers = {x["slot"]: x["n"] for x in counts or ()}
+                same = template(numbers, numbers.pop(-1, 0))
+                rows.append((host, key, text, Wrapper.load(text).main(same), sorted(same)))
+            yield _table(_DECIDED_ROW, rows)
 
-    return parts.select("host", "layout", "wrapper").mapInArrow(decide, "host string, layout bigint, wrapper string, slots array<int>")
+    rows = learned.join(on, keys, "left").select(*keys, "wrapper", "counts").mapInArrow(run, _DECIDED)
+    return stored(rows, "slots", "uncompressed")
 
 
 def _host(url: Column) -> Column:
@@ -769,27 +894,15 @@ def main_texts(pages: DataFrame, page_id: str = "page_id", url: str = "url", pag
     rows = pages.select(F.col(page_id).cast("bigint").alias("page_id"), F.col(url).alias("url"), _host(F.col(url)).alias("host"),
                         F.coalesce(F.col(page), F.lit("")).alias("html"))
 
-    def taken_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, pages_ = [], []
-            for source in batch.column(3).to_pylist():
-                parts = list(blocks(source))
-                keys.append(layout(parts))
-                pages_.append(packed(parts))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(keys, pa.int64()), pa.array(pages_, pa.string())],
-                                             ["page_id", "url", "host", "layout", "parts"])
-
-    apart = rows.mapInArrow(taken_apart, "page_id bigint, url string, host string, layout bigint, parts string")
-    joined = apart.join(wrappers(rows), ["host", "layout"], "left").select("page_id", "url", "parts", "wrapper", "slots")
+    parts = taken_apart(rows)
+    apart = parts.where("wrapper is null").drop("salt", "wrapper")
+    learned = wrappers(parts.where("wrapper is not null").select("host", "layout", "salt", "wrapper"))
+    joined = apart.join(decided(apart, learned), ["host", "layout"], "left").select("page_id", "url", "frame", "texts", "wrapper", "slots", "template")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, wrapper = None, Wrapper()
         for batch in batches:
-            texts = []
-            for page_, dumped, slots in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))):
-                if dumped != last:
-                    last, wrapper = dumped, Wrapper.load(dumped)
-                texts.append(main_text(unpacked(page_), wrapper, set(slots)))
+            texts = [main_text(unpacked(frame, own), _loaded(text), set(slots), set(same))
+                     for frame, own, text, slots, same in zip(*(batch.column(i).to_pylist() for i in range(2, 7)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 

@@ -1,4 +1,5 @@
 import time
+import zlib
 
 from millrace.llm import wrappers
 
@@ -153,3 +154,27 @@ def test_words_inside_an_article_need_its_slots_to_agree(spark):
 def test_columns_of_any_name(spark, wide):
     df = wide(spark.createDataFrame([(1, "http://a/", "<article><p>x</p></article>"), (2, None, None)], SCHEMA))
     assert sorted(tuple(r) for r in wrappers.main_texts(df).collect()) == [(1, "http://a/", "x", 1), (2, None, "", 0)]
+
+
+def test_template_is_decided_by_all_distinct_pages(spark):
+    # the pages with the smallest hashes have the heading, but it is on four of ten pages only, then on nineteen of twenty
+    kind = "<body><div class=a><p>{0}</p>{1}</div></body>"
+
+    def by_hash(numbers, more):
+        return sorted(numbers, key=lambda i: zlib.crc32("\n".join(x for _, x, _ in wrappers.blocks(kind.format(f"news {i}", more))).encode()))
+
+    headed, bare = by_hash(range(4000), "<h3>Part two</h3>"), by_hash(range(4000, 8000), "")
+    few = [(i, "http://few.example/", kind.format(f"news {i}", "<h3>Part two</h3>")) for i in headed[:40]]
+    few += [(i, "http://few.example/", kind.format(f"news {i}", "")) for i in bare[-60:]]
+    most = [(i, "http://most.example/", kind.format(f"news {i}", "<h3>Part two</h3>")) for i in headed[-95:]]
+    most += [(i, "http://most.example/", kind.format(f"news {i}", "")) for i in bare[:5]]
+    most += [(bare[0], "http://most.example/", kind.format(f"news {bare[0]}", ""))] * 30  # copies count once
+    want = [(i, f"news {i}" + "\nPart two" * (i < 4000)) for i, _, _ in few] + [(i, f"news {i}") for i, _, _ in most]
+    assert texts(spark, few + most) == sorted(want)
+
+
+def test_wrappers_do_not_grow_with_the_parts_of_pages():
+    wrapper = wrappers.Wrapper()
+    for i in range(40):
+        wrapper.add(list(wrappers.blocks("<body><h1>t</h1>" + f"<p>x {i}</p>" * 9 + "<h2>o</h2>" * (i % 2) + "</body>")))
+    assert all(len(x.parts) <= 9 for x, _, _ in wrapper.nodes())
