@@ -9,7 +9,7 @@ from millrace.functions.money import half_up, mean, ratio, total
 from millrace.operators import ranking
 from millrace.operators.eventlog import lower_median, surviving
 from millrace.operators.nesting import nested
-from millrace.operators.relational import leading, match, with_group
+from millrace.operators.relational import leading, match, union_all, with_group
 from millrace.plans.jobs import allocate, funnel_cube
 
 
@@ -205,3 +205,11 @@ def test_runs_of_many_users_and_days_share_a_call(spark):
     call = runs.EventRuns.func()
     tables = [*call.eval(pa.RecordBatch.from_pylist([{"user_id": u, "day": d, "event_type": "view", "event_id": 10 * u + d, "at": 0.0} for u in (1, 2) for d in (1, 2)])), *call.terminate()]
     assert sum(t.num_rows for t in tables) == 4
+
+
+def test_a_task_has_one_branch_of_a_union(spark):
+    def joined(i):
+        return spark.range(1000 * i, 1000 * i + 1000).withColumn("k", F.col("id") % 7).join(spark.range(7).toDF("k").hint("merge"), "k")
+
+    branches = [joined(i) for i in range(3)]
+    assert union_all(*branches).rdd.getNumPartitions() == sum(x.rdd.getNumPartitions() for x in branches)
