@@ -64,6 +64,18 @@ def test_enrichment_and_error_rows(spark, folder):
     assert [r["step_name"] for r in spark.read.parquet(folder + "/result_err").collect()] == ["extractElement"]
 
 
+def test_users_are_not_sent_to_all(spark):
+    # sides that are small at run time were broadcast: their rows went through the driver
+    users = spark.range(50).selectExpr("cast(id as string) as user_id", "named_struct('start', id) as w")
+    countries = spark.range(50).selectExpr("cast(id as string) as user_id", "'fr' as country")
+    history = spark.range(200).selectExpr("cast(id % 50 as string) as user_id", "'2024-01-01' as event_date", "'buy' as event_name", "cast(id as string) as device")
+    full = enrich.enriched(users, countries, history)
+    assert len(full.collect()) == 50
+    joins = full._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # pieces of parts with more than 10,000 items are few
+    assert joins.count("BroadcastHashJoin") <= 1 and joins.count("SortMergeJoin") >= 3
+
+
 def routes(spark, folder, two_phase=False, fold_every=100):
     drain(routing.start_routing(messages.message_files(spark, folder + "/in", per_batch=1), folder, folder + "/check", two_phase,
                                 fold_every))
