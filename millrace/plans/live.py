@@ -26,12 +26,15 @@ DELAY = f"{LATE} seconds"
 
 
 def fed(t: Tables, rows: DataFrame, at: Column, name: str, start: Callable[[DataFrame, str], list[StreamingQuery]], batches: int = BATCHES) -> str:
-    """Hand rows to a job in stretches of ``at``; the job is started anew for each one and goes on from its checkpoint."""
-    path = scratch(t.spark, name)
+    """Hand rows to a job in stretches of ``at``; the job is started anew for each one and goes on from its checkpoint.
+
+    A stretch stands in few tasks where the table is in order, so its rows are dealt to a file per core.
+    """
+    path, cores = scratch(t.spark, name), t.spark.sparkContext.defaultParallelism
     numbered = rows.withColumn("_at", at.cast("double"))
     numbered = numbered.withColumn("_batch", slot_of(col("_at"), cut_points(numbered, "_at", batches)))
     for i in range(batches):
-        numbered.where(col("_batch") == i).drop("_at", "_batch").write.mode("append").parquet(path + "/in")
+        numbered.where(col("_batch") == i).drop("_at", "_batch").repartition(cores).write.mode("append").parquet(path + "/in")
         for q in start(t.spark.readStream.schema(rows.schema).parquet(path + "/in"), path):
             finished(q)
     return path

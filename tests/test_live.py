@@ -7,6 +7,7 @@ import random
 import tempfile
 import time
 from collections import Counter
+from types import SimpleNamespace
 
 import pandas as pd
 import pytest
@@ -17,7 +18,7 @@ from millrace.functions import runs
 from millrace.ml import search
 from millrace.operators import observed, sketches
 from millrace.operators.ranking import cut_points, slot_of
-from millrace.plans import governance
+from millrace.plans import governance, live
 from millrace.sinks import clustered
 from millrace.sources import numbered
 from millrace.streaming import appends, delivery, multiset
@@ -390,3 +391,12 @@ def test_lineage_follows_columns_not_names(spark):
     assert use(a.select("k", "secret").mapInPandas(lambda frames: frames, "m int, n int"), a) == (["m", "n"], [])
     one, two = a.alias("one"), a.alias("two")
     assert use(one.join(two, F.col("one.k") == F.col("two.k")).select(F.col("two.secret").alias("s")), a) == (["s"], [])
+
+
+def test_rows_of_a_batch_are_dealt_to_all_cores(spark):
+    # a table in order of its time: a stretch of it stands in one task
+    rows = spark.range(0, 8000, 1, 1).toDF("event_id")
+    path = live.fed(SimpleNamespace(spark=spark), rows, F.col("event_id"), "dealt", lambda events, path: [], batches=2)
+    files = spark.read.parquet(path + "/in").groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n"))
+    sizes = [r["n"] for r in files.collect()]
+    assert sum(sizes) == 8000 and len(sizes) == 2 * spark.sparkContext.defaultParallelism and max(sizes) < 1000
