@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
+import threading
+
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from millrace.ml import features, models
@@ -65,3 +70,48 @@ def test_orders_that_are_alike_do_not_grow_with_copies(spark, sf_dir):
         train, test = learning.price_rows_alike(Copies(spark, sf_dir, n), ["month", "lines"], 70)
         sizes.append((train.count() + test.count(), train.agg(F.sum("weight")).first()[0] + test.agg(F.sum("weight")).first()[0]))
     assert sizes[1][0] < 1.5 * sizes[0][0] and sizes[1][1] == 3 * sizes[0][1]
+
+
+def test_packed_rows_are_all_rows_in_the_parts_they_fill(spark):
+    rows = points(spark).repartition(8)
+    packed = features.packed(rows, 1500)
+    assert packed.rdd.getNumPartitions() == 3 and sorted(packed.collect()) == sorted(rows.collect())
+    assert features.packed(rows.where("a < 0")).rdd.getNumPartitions() <= 1
+
+
+def test_folds_side_by_side_find_what_folds_in_turn_find(spark):
+    train = features.assembled(["a", "b"], "features").transform(points(spark).withColumn("fold", learning.dealt(3, "k"))).coalesce(1).cache()
+    gbt, evaluator = models.boosted_regressor("worth"), RegressionEvaluator(labelCol="worth", metricName="rmse")
+    grid = models.depth_grid(gbt, (1, 2), (1, 3))
+    turns = CrossValidator(estimator=gbt, estimatorParamMaps=grid, evaluator=evaluator, numFolds=3, foldCol="fold").fit(train)
+    for ahead in (False, True):
+        found = models.inside_pipeline([], gbt, grid, evaluator, 3, train, 6, "fold", ahead).stages[-1]
+        assert found.avgMetrics == pytest.approx(turns.avgMetrics, rel=1e-9) and found.stdMetrics == pytest.approx(turns.stdMetrics, rel=1e-6)
+        assert found.bestModel.toDebugString.split("\n", 1)[1] == turns.bestModel.toDebugString.split("\n", 1)[1]
+    train.unpersist()
+
+
+def test_models_of_all_folds_are_fitted_at_the_same_time(spark):
+    """Fits wait for each other: six of them, of three folds and two points."""
+    together, calls = threading.Barrier(6, timeout=60), itertools.count()
+
+    class Waits(LogisticRegression):
+        def fit(self, dataset, params=None):
+            if next(calls) < 6:
+                together.wait()
+            return super().fit(dataset, params)
+
+    train = features.assembled(["a", "b"], "features").transform(points(spark).withColumn("fold", learning.dealt(3, "k"))).coalesce(1)
+    lr = Waits(labelCol="label", featuresCol="features")
+    best = models.cross_validated(lr, models.logistic_grid(lr, (0.1, 1.0), (0.0,), (2,)), BinaryClassificationEvaluator(), 3, train, 6, fold="fold")
+    assert len(best.avgMetrics) == 2 and not together.broken
+
+
+def test_search_in_pipeline_fits_the_whole_grid(spark, sf_dir, monkeypatch):
+    seen = []
+    monkeypatch.setattr(models, "inside_pipeline", lambda stages, gbt, grid, evaluator, folds, *a, **b: seen.append((folds, grid)) or 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        learning.l10_search_in_pipeline(Copies(spark, sf_dir, 1))
+    [(folds, grid)] = seen
+    assert folds == 3 and sorted(sorted((p.name, v) for p, v in x.items()) for x in grid) == [
+        [("maxDepth", d), ("maxIter", n)] for d in (2, 5) for n in (10, 100)]
