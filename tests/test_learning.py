@@ -77,6 +77,18 @@ def test_packed_rows_are_all_rows_in_the_parts_they_fill(spark):
     packed = features.packed(rows, 1500)
     assert packed.rdd.getNumPartitions() == 3 and sorted(packed.collect()) == sorted(rows.collect())
     assert features.packed(rows.where("a < 0")).rdd.getNumPartitions() <= 1
+    train, _ = learning.prepared_alike(Lines(spark))
+    assert train.rdd.getNumPartitions() == 1
+
+
+class Lines:
+    """A table of lines of few kinds."""
+
+    def __init__(self, spark):
+        self.spark = spark
+        self.lineitem = spark.range(2000).selectExpr(
+            "id div 4 as l_orderkey", "int(id % 4) as l_linenumber", "if(id % 3 = 0, 'A', 'N') as l_returnflag", "if(id % 2 = 0, 'F', 'O') as l_linestatus",
+            "double(id % 7 + 1) as l_quantity", "0.05 as l_discount", "0.02 as l_tax", "double((id % 7 + 1) * (1400 + id % 5 * 50)) as l_extendedprice").repartition(8)
 
 
 def test_folds_side_by_side_find_what_folds_in_turn_find(spark):
