@@ -11,7 +11,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvalu
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
-from millrace.ml import features, models
+from millrace.ml import features, models, search
 from millrace.plans import learning
 
 col = F.col
@@ -127,3 +127,17 @@ def test_search_in_pipeline_fits_the_whole_grid(spark, sf_dir, monkeypatch):
     [(folds, grid)] = seen
     assert folds == 3 and sorted(sorted((p.name, v) for p, v in x.items()) for x in grid) == [
         [("maxDepth", d), ("maxIter", n)] for d in (2, 5) for n in (10, 100)]
+
+
+def test_sequential_search_scores_each_kind_of_held_lines_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(search, "validated", lambda estimator, fit, held, evaluator: seen.append((fit, held)) or 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        learning.l12_sequential_search(Lines(spark))
+    [(fit, held)] = seen
+    kinds = [df.select(*learning.SEEN).distinct().count() for df in (fit, held)]
+    assert held.count() == kinds[1] and fit.count() > 2 * kinds[0]
+    slot = F.pmod(col("l_orderkey") * 7919 + 11, F.lit(100))
+    lines = [Lines(spark).lineitem.where(side).count() for side in (slot < 50, (slot >= 50) & (slot < 70))]
+    assert [df.agg(F.sum("weight")).first()[0] for df in (fit, held)] == lines
+    assert fit.rdd.getNumPartitions() == held.rdd.getNumPartitions() == 1
