@@ -9,7 +9,7 @@ import pytest
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from millrace.ml import features, models, search
 from millrace.plans import learning
@@ -141,3 +141,10 @@ def test_sequential_search_scores_each_kind_of_held_lines_once(spark, monkeypatc
     lines = [Lines(spark).lineitem.where(side).count() for side in (slot < 50, (slot >= 50) & (slot < 70))]
     assert [df.agg(F.sum("weight")).first()[0] for df in (fit, held)] == lines
     assert fit.rdd.getNumPartitions() == held.rdd.getNumPartitions() == 1
+
+
+def test_logistic_models_score_after_the_session_has_observed_a_query(spark):
+    seen = Observation()
+    spark.range(3).observe(seen, F.count("*").alias("n")).collect()
+    rows = features.assembled(["a", "b"], "features").transform(points(spark))
+    assert seen.get == {"n": 3} and models.area_under_curve(models.logistic(2).fit(rows).transform(rows)) > 0.5
